@@ -151,6 +151,37 @@ MIGRATED_COLUMNS = {
     for n, e in TRANSACTION_COLUMNS.items()
 }
 
+# The derived tables as text, the way a file brings them, with values that do not conform.
+RAW_MERCHANT_COLUMNS = {
+    "merchant_id": "CAST(merchant_id AS STRING)",
+    "merchant_guid": (
+        "CASE WHEN merchant_id % 61 = 5 THEN 'not-a-guid' WHEN merchant_id % 3 = 0 THEN upper(merchant_guid) ELSE merchant_guid END"
+    ),
+    "legal_name": "CASE WHEN merchant_id % 67 = 9 THEN NULL ELSE legal_name END",
+    "dba_name": "dba_name",
+    "mcc": "mcc",
+    "is_active": "CASE WHEN merchant_id % 59 = 4 THEN '2' WHEN is_active THEN '1' ELSE '0' END",
+    "onboarding_status": "onboarding_status",
+    "created_at": "CASE WHEN merchant_id % 71 = 8 THEN '2024-13-01 00:00:00' ELSE CAST(created_at AS STRING) END",
+    "updated_at": "CAST(updated_at AS STRING)",
+}
+RAW_TRANSACTION_COLUMNS = {
+    "txn_id": "CAST(txn_id AS STRING)",
+    "merchant_id": "CASE WHEN txn_id % 103 = 6 THEN '12x' ELSE CAST(merchant_id AS STRING) END",
+    "amount": (
+        "CASE WHEN txn_id % 97 = 1 THEN '1.00001' WHEN txn_id % 97 = 2 THEN 'abc' "
+        "WHEN txn_id % 97 = 3 THEN '12345678901234567.0' ELSE CAST(amount AS STRING) END"
+    ),
+    "fee_amount": "CAST(fee_amount AS STRING)",
+    "currency": "currency",
+    "card_last4": "card_last4",
+    "auth_code": "auth_code",
+    "txn_status": "txn_status",
+    # every fourth text states its own offset
+    "captured_at": "CAST(captured_at AS STRING) || CASE WHEN txn_id % 4 = 1 THEN '+02:00' ELSE '' END",
+    "settled_at": "CAST(settled_at AS STRING)",
+}
+
 
 def select_list(columns: dict[str, str]) -> list[str]:
     return [f"{e} AS {n}" for n, e in columns.items()]
