@@ -28,7 +28,6 @@ HEADLINE = [
     "reconcile_orphans",
     "apply_changes",
     "change_history",
-    "conformed_transactions",
     "full_refresh",
     "partitioned_export",
     "replicate_stream",

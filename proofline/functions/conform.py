@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from proofline.contract import MONEY, Column as Declared, ContractError, Table
 
 ERRORS = "_errors"
+ERROR_LIST = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in ("column", "reason", "value")]))
 CORRUPT = "_corrupt_line"
 
 # Text forms accepted by the typed readers (fixed values).
 INTEGER_TEXT = r"^[+-]?\d+$"
-MONEY_TEXT = r"^[+-]?\d+(\.\d+)?$"
-MONEY_LONG_TEXT = r"\.\d{5,}$"
+NUMBER_TEXT = r"^[+-]?\d+(\.\d+)?$"
+MONEY_TEXT = r"^[+-]?\d+(\.\d{1,4})?$"
 UUID_TEXT = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?$"
@@ -26,36 +27,19 @@ ZONED_TEXT = r"(Z|[+-]\d{2}:?\d{2})$"
 REPLACEMENT = "�"
 
 
-def money(c: Column) -> tuple[Column, Column]:
-    value = c.try_cast(MONEY)
-    reason = (
-        F.when(~c.rlike(MONEY_TEXT), "not a number")
-        .when(c.rlike(MONEY_LONG_TEXT), "more than 4 decimals")
-        .when(value.isNull(), "out of range")
+def money(c: Column, value: Column) -> Column:
+    return F.when(
+        value.isNull() | ~c.rlike(MONEY_TEXT),
+        F.when(~c.rlike(NUMBER_TEXT), "not a number").when(~c.rlike(MONEY_TEXT), "more than 4 decimals").otherwise("out of range"),
     )
-    return value, reason
 
 
-def boolean(c: Column) -> tuple[Column, Column]:
-    return (
-        F.when(c == "1", True).when(c == "0", False),
-        F.when(~c.isin("0", "1"), "neither 0 nor 1"),
-    )
-
-
-def uuid_text(c: Column) -> tuple[Column, Column]:
-    value = F.lower(c)
-    return value, F.when(~value.rlike(UUID_TEXT), "not a uuid")
+def boolean(c: Column) -> Column:
+    return F.when(c == "1", True).when(c == "0", False)
 
 
-def integer(c: Column, kind: T.DataType) -> tuple[Column, Column]:
-    value = c.try_cast(kind)
-    return value, F.when(~c.rlike(INTEGER_TEXT), "not a whole number").when(value.isNull(), "out of range")
-
-
-def date_text(c: Column) -> tuple[Column, Column]:
-    value = c.try_cast("date")
-    return value, F.when(~c.rlike(DATE_TEXT) | value.isNull(), "not a date")
+def integer(c: Column, value: Column) -> Column:
+    return F.when(~c.rlike(INTEGER_TEXT), "not a whole number").when(value.isNull(), "out of range")
 
 
 def attach_zone(naive: Column, zone: str) -> Column:
@@ -63,16 +47,9 @@ def attach_zone(naive: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), naive.cast("timestamp_ntz")).cast("timestamp")
 
 
-def timestamp_text(c: Column, zone: str) -> tuple[Column, Column]:
+def timestamp_text(c: Column, zone: str) -> Column:
     """Attach ``zone`` to naive text, convert text that states its own offset."""
-    value = F.when(c.rlike(ZONED_TEXT), c.try_cast("timestamp")).otherwise(
-        attach_zone(c.try_cast("timestamp_ntz"), zone)
-    )
-    return value, F.when(~c.rlike(TIMESTAMP_TEXT) | value.isNull(), "not a timestamp")
-
-
-def plain_text(c: Column) -> tuple[Column, Column]:
-    return c, F.when(c.contains(REPLACEMENT), "undecodable characters")
+    return F.when(c.rlike(ZONED_TEXT), c.try_cast("timestamp")).otherwise(attach_zone(c.try_cast("timestamp_ntz"), zone))
 
 
 def trimmed(c: Column) -> Column:
@@ -80,83 +57,104 @@ def trimmed(c: Column) -> Column:
     return F.rtrim(c)
 
 
-def _from_text(col: Declared, c: Column, zone: str) -> tuple[Column, Column]:
-    if col.type == "money":
-        return money(c)
+def text_value(col: Declared, c: Column, zone: str) -> Column:
+    """The typed value of a text, NULL where there is none."""
     if col.type == "bool":
         return boolean(c)
     if col.type == "uuid":
-        return uuid_text(c)
-    if col.type in ("int", "bigint"):
-        return integer(c, col.spark_type)
-    if col.type == "date":
-        return date_text(c)
+        return F.lower(c)
     if col.type == "timestamp":
         return timestamp_text(c, zone)
-    return plain_text(c)
+    return c.try_cast(col.spark_type)
 
 
-def _from_typed(col: Declared, c: Column, have: T.DataType, zone: str, where: str) -> tuple[Column, Column]:
-    never = F.lit(None).cast("string")
+def text_problem(col: Declared, c: Column, value: Column) -> Column:
+    """Why a text may not be used as ``value``, NULL where it may."""
     if col.type == "money":
-        if not isinstance(have, (T.DecimalType, T.IntegralType)):
-            raise ContractError(f"{where}: money arrives as {have.simpleString()}, which is not exact")
-        value = c.try_cast(MONEY)
-        reason = F.when(value.isNull(), "out of range")
-        if isinstance(have, T.DecimalType) and have.scale > MONEY.scale:
-            # the comparison happens in the wider type, so a lost digit shows
-            reason = reason.when(c != value, "more than 4 decimals")
-        return value, reason
+        return money(c, value)
+    if col.type in ("int", "bigint"):
+        return integer(c, value)
+    if col.type == "bool":
+        return F.when(value.isNull(), "neither 0 nor 1")
+    if col.type == "uuid":
+        return F.when(~value.rlike(UUID_TEXT), "not a uuid")
+    if col.type == "date":
+        return F.when(value.isNull() | ~c.rlike(DATE_TEXT), "not a date")
     if col.type == "timestamp":
-        if isinstance(have, T.TimestampNTZType):
-            return attach_zone(c, zone), never
-        if isinstance(have, T.TimestampType):
-            return c, never
+        return F.when(value.isNull() | ~c.rlike(TIMESTAMP_TEXT), "not a timestamp")
+    return F.when(c.contains(REPLACEMENT), "undecodable characters")
+
+
+def typed_value(col: Declared, c: Column, have: T.DataType, zone: str, where: str) -> Column:
+    """The value of a column that is already typed; a type that cannot be exact fails here."""
+    if col.type == "money" and isinstance(have, (T.DecimalType, T.IntegralType)):
+        return c.try_cast(MONEY)
+    if col.type == "money":
+        raise ContractError(f"{where}: money arrives as {have.simpleString()}, which is not exact")
+    if col.type == "timestamp" and isinstance(have, T.TimestampNTZType):
+        return attach_zone(c, zone)
     if col.type in ("int", "bigint") and isinstance(have, T.IntegralType):
-        value = c.try_cast(col.spark_type)
-        return value, F.when(value.isNull(), "out of range")
+        return c.try_cast(col.spark_type)
     if col.type == "bool" and isinstance(have, T.IntegralType):
-        return F.when(c == 1, True).when(c == 0, False), F.when(~c.isin(0, 1), "neither 0 nor 1")
+        return F.when(c == 1, True).when(c == 0, False)
     if have == col.spark_type:
-        return c, never
+        return c
     raise ContractError(f"{where}: {have.simpleString()} cannot be read as {col.type}")
 
 
+def typed_problem(col: Declared, c: Column, value: Column, have: T.DataType) -> Column:
+    if col.type == "bool" and isinstance(have, T.IntegralType):
+        return F.when(value.isNull(), "neither 0 nor 1")
+    lost = F.when(value.isNull(), "out of range")
+    if col.type == "money" and isinstance(have, T.DecimalType) and have.scale > MONEY.scale:
+        # the comparison happens in the wider type, so a lost digit shows
+        return lost.when(c != value, "more than 4 decimals")
+    return lost
+
+
 def conform(df: DataFrame, table: Table, zone: str = "UTC") -> DataFrame:
     """Typed columns of ``table`` plus ``_errors``, one entry per offending value.
 
-    One projection: no shuffle, no Python. Generated columns are computed here
-    from their declared expression, never read.
+    Projections only: no shuffle, no Python. Values, then reasons, then the error list
+    are separate steps, so each is computed once, and the list only for rows that need
+    one. Generated columns are computed here from their expression, never read.
     """
-    values, problems = [], []
-    for col in table.stored:
-        have = df.schema[col.name].dataType
-        raw = F.col(col.name)
-        if isinstance(have, T.StringType):
-            value, reason = _from_text(col, raw, zone)
-        else:
-            value, reason = _from_typed(col, raw, have, zone, f"{table.name}.{col.name}")
-        if not col.nullable:
-            reason = F.when(raw.isNull(), "missing").otherwise(reason)
+    raw = {c.name: F.col(f"_raw_{c.name}") for c in table.stored}
+    have = {c.name: df.schema[c.name].dataType for c in table.stored}
+    renamed = df.select(
+        *[F.col(c.name).alias(f"_raw_{c.name}") for c in table.stored], *([CORRUPT] if CORRUPT in df.columns else [])
+    )
+
+    def value(col: Declared) -> Column:
+        if isinstance(have[col.name], T.StringType):
+            return text_value(col, raw[col.name], zone)
+        return typed_value(col, raw[col.name], have[col.name], zone, f"{table.name}.{col.name}")
+
+    def reason(col: Declared) -> Column:
+        c, v = raw[col.name], F.col(col.name)
+        if isinstance(have[col.name], T.StringType):
+            why = text_problem(col, c, v)
         else:
-            reason = F.when(raw.isNotNull(), reason)
-        values.append(value.cast(col.spark_type).alias(col.name))
-        problems.append(
-            F.when(
-                reason.isNotNull(),
-                F.struct(F.lit(col.name).alias("column"), reason.alias("reason"), raw.cast("string").alias("value")),
-            )
-        )
+            why = typed_problem(col, c, v, have[col.name])
+        return F.when(c.isNull(), F.lit(None if col.nullable else "missing")).otherwise(why)
+
+    valued = renamed.select("*", *[value(c).cast(c.spark_type).alias(c.name) for c in table.stored])
+    reasoned = valued.select("*", *[reason(c).alias(f"_why_{c.name}") for c in table.stored])
+
+    def entry(column: str, why: Column, text: Column) -> Column:
+        found = F.struct(F.lit(column).alias("column"), why.alias("reason"), text.cast("string").alias("value"))
+        return F.when(why.isNotNull(), found)
+
+    whys = {c.name: F.col(f"_why_{c.name}") for c in table.stored}
+    entries = [entry(n, why, raw[n]) for n, why in whys.items()]
+    suspicious = F.coalesce(*whys.values()).isNotNull()
     if CORRUPT in df.columns:
         line = F.col(CORRUPT)
-        problems.append(
-            F.when(
-                line.isNotNull(),
-                F.struct(F.lit("*").alias("column"), F.lit("wrong number of fields").alias("reason"), line.alias("value")),
-            )
-        )
-    out = df.select(*values, F.array_compact(F.array(*problems)).alias(ERRORS))
-    return add_generated(out, table)
+        entries.append(entry("*", F.when(line.isNotNull(), "wrong number of fields"), line))
+        suspicious = suspicious | line.isNotNull()
+    found = F.array_compact(F.array(*entries))
+    errors = F.when(suspicious, found).otherwise(F.array().cast(ERROR_LIST))
+    return add_generated(reasoned.select(*[c.name for c in table.stored], errors.alias(ERRORS)), table)
 
 
 def add_generated(df: DataFrame, table: Table) -> DataFrame:

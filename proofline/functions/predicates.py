@@ -68,3 +68,8 @@ def case_sensitive_equal(c: Column, value: str) -> Column:
 
 def any_like(c: Column, patterns: tuple[str, ...] | list[str]) -> Column:
     return reduce(lambda a, b: a | b, [c.like(p) for p in patterns])
+
+
+def whole_blocks(c: Column, width: int) -> Column:
+    """Block number of a whole number, in whole-number arithmetic: no key is too large for it."""
+    return F.call_function("div", c.cast("bigint"), F.lit(width).cast("bigint"))

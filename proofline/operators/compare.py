@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proofline.contract import Table
+from proofline.functions.predicates import whole_blocks
 
 KEY_BLOCK = 10_000  # keys per checksum partition
 
@@ -33,7 +34,7 @@ def block_checksums(df: DataFrame, table: Table, block: int = KEY_BLOCK) -> Data
     row_hash = F.xxhash64(
         *[canonical(table, n) for n in table.names()], *[F.col(n).isNull() for n in table.names()]
     )
-    return df.groupBy(F.floor(F.col(table.key) / F.lit(block)).cast("bigint").alias("key_block")).agg(
+    return df.groupBy(whole_blocks(F.col(table.key), block).alias("key_block")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(row_hash.cast("decimal(38,0)")).alias("checksum")
     )
 
@@ -114,7 +115,7 @@ def narrowed_row_diff(source: DataFrame, target: DataFrame, table: Table, block:
     suspects = differing_blocks(source, target, table, block).select(F.col("key_block").alias("_block"))
 
     def suspect(df: DataFrame) -> DataFrame:
-        tagged = df.withColumn("_block", F.floor(F.col(table.key) / F.lit(block)).cast("bigint"))
+        tagged = df.withColumn("_block", whole_blocks(F.col(table.key), block))
         return tagged.join(suspects, tagged["_block"].eqNullSafe(suspects["_block"]), "left_semi").drop("_block")
 
     return row_diff(suspect(source), suspect(target), table)

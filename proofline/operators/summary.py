@@ -15,7 +15,7 @@ from proofline.contract import MONEY
 from proofline.functions.predicates import calendar_window, instant, matches
 from proofline.operators.settle import CAPTURED, totals
 from proofline.session import spread_writes
-from proofline.sources.tables import path_exists
+from proofline.sources.tables import one_row, path_exists
 
 JOB = "daily_settlement_summary"
 KEYS = ["summary_date", "merchant_id"]
@@ -69,9 +69,8 @@ class RunLog:
         self.spark, self.path = spark, path
 
     def add(self, run_id: str, job: str, step: int, status: str, rows: int | None = None, error: str | None = None) -> None:
-        now = datetime.now(timezone.utc)
-        line = self.spark.createDataFrame([(run_id, job, step, now, rows, status, error)], RUN_EVENT)
-        line.coalesce(1).write.mode("append").json(self.path)
+        now = datetime.now(timezone.utc).isoformat()
+        one_row(self.spark, RUN_EVENT, [run_id, job, step, now, rows, status, error]).write.mode("append").json(self.path)
 
     def events(self) -> DataFrame:
         if not path_exists(self.spark, self.path, RUN_EVENT):

@@ -624,7 +624,7 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def error_escalation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors per hundred keys against a limit, each hundred standing for a table."""
-    per = applied(spark, sf_dir).errors.groupBy(F.floor(F.col("k") / 100).cast("string").alias("table_name")).agg(F.count(F.lit(1)).alias("errors"))
+    per = applied(spark, sf_dir).errors.groupBy(P.whole_blocks(F.col("k"), 100).cast("string").alias("table_name")).agg(F.count(F.lit(1)).alias("errors"))
     return apply.escalate(per, ERROR_LIMIT, tables=1)
 
 
@@ -637,7 +637,7 @@ def change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replication_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag of a poll every three seconds: a change arrives with the next poll."""
     rows = pay.changes(spark, sf_dir)
-    poll = (F.floor(F.unix_micros("commit_ts") / 3_000_000) + 1) * 3_000_000
+    poll = (P.whole_blocks(F.unix_micros("commit_ts"), 3_000_000) + 1) * 3_000_000
     arrived = rows.withColumn("applied_ts", F.timestamp_micros(poll.cast("bigint")))
     return history.replication_lag(arrived, by=["op"])
 

@@ -47,16 +47,28 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def spread_writes(spark: SparkSession, smallest: str = "64KB") -> Iterator[None]:
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for one write; dots are written as double underscores."""
+    names = {n.replace("__", "."): v for n, v in values.items()}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def spread_writes(spark: SparkSession):
     """Let a write into many folders keep its parallelism although its bytes are few.
 
     Opening a file costs more than filling it here, so the size below which adaptive
     execution merges tasks is lowered. Large writes are not affected by it.
     """
-    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(name)
-    spark.conf.set(name, smallest)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return settings(spark, spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB")
+
+
+def two_writers(spark: SparkSession):
+    """Write into two folders with two open files per task instead of a sort."""
+    return settings(spark, spark__sql__maxConcurrentOutputFileWriters="2")

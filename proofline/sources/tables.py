@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from proofline.contract import Contract, Table
-from proofline.functions.conform import ERRORS, conform, rejects
+from proofline.functions.conform import ERROR_LIST, ERRORS, conform, rejects
+from proofline.session import two_writers
 
 COMMIT = T.StructType(
     [
@@ -62,6 +63,12 @@ def path_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
         raise
 
 
+def one_row(spark: SparkSession, schema: T.StructType, values: list) -> DataFrame:
+    """A row of literals; needs no Python worker."""
+    cells = zip(schema.fields, values)
+    return spark.range(1).coalesce(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in cells])
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -114,8 +121,7 @@ class VersionedTable:
     def commit(self, mode: str, folder: str, rows: int, seconds: float, seq: int | None = None, tag: str | None = None) -> Commit:
         done = self.commits()
         entry = Commit((done[-1].version if done else 0) + 1, mode, folder, rows, seconds, seq, tag)
-        line = self.spark.createDataFrame([tuple(vars(entry).values())], COMMIT)
-        line.coalesce(1).write.mode("append").json(self._log)
+        one_row(self.spark, COMMIT, list(vars(entry).values())).write.mode("append").json(self._log)
         return entry
 
     def replace(self, df: DataFrame, seq: int | None = None, tag: str | None = None) -> Commit:
@@ -167,7 +173,8 @@ def full_refresh(
         table = contract.table(name)
         rows = conform(frames[name], table, contract.source_timezone).withColumn("rejected", F.size(ERRORS) > 0)
         store = VersionedTable(spark, f"{root}/{name}")
-        folder, total, seconds = store.stage(rows, partition_by=["rejected"])
+        with two_writers(spark):
+            folder, total, seconds = store.stage(rows, partition_by=["rejected"])
         bad = spark.read.schema(rows.schema).parquet(f"{store.path}/{folder}").where("rejected").count()
         if policy == "stop" and bad > reject_limit:
             raise LoadError(f"{name}: {bad} rows do not conform; nothing was loaded")
@@ -190,11 +197,8 @@ def read_loaded(spark: SparkSession, contract: Contract, root: str, name: str, v
 
 def read_rejects(spark: SparkSession, contract: Contract, root: str, name: str, version: int | None = None) -> DataFrame:
     table = contract.table(name)
-    error = T.ArrayType(
-        T.StructType([T.StructField(f, T.StringType()) for f in ("column", "reason", "value")])
-    )
     schema = T.StructType(
-        table.struct().fields + [T.StructField(ERRORS, error), T.StructField("rejected", T.BooleanType())]
+        table.struct().fields + [T.StructField(ERRORS, ERROR_LIST), T.StructField("rejected", T.BooleanType())]
     )
     return rejects(_folders(spark, f"{root}/{name}", schema, version).where("rejected").drop("rejected"), table)
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from proofline.functions.predicates import whole_blocks
 from proofline.sources.changelog import DELETE, INSERT, UPDATE
 
 BLOCK = 1_000_000  # log positions per block of the presence scan
@@ -35,7 +36,7 @@ def with_presence(changes: DataFrame, existing: DataFrame, keys: list[str], bloc
     the scan inside a block is bounded however hot the key is. Only the last insert or
     delete of each block travels on to later blocks of the key.
     """
-    tagged = changes.withColumn("_block", F.floor(F.col("seq") / F.lit(block)).cast("bigint"))
+    tagged = changes.withColumn("_block", whole_blocks(F.col("seq"), block))
     inside = Window.partitionBy(*keys, "_block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     scanned = tagged.withColumn("_before", F.last(_existence_op(), ignorenulls=True).over(inside))
 
@@ -90,13 +91,28 @@ def net_changes(judged: DataFrame, keys: list[str]) -> DataFrame:
     return judged.where(F.col("verdict") == APPLIED).groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
-def merge(base: DataFrame, net: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Rows after the net changes: untouched rows of the base, and the images that remain."""
+def overlay(base: DataFrame, net: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows after few net changes: the base streams past them and is not shuffled.
+
+    ``net`` is read twice, so it should be stored.
+    """
     kept = base.select(*keys, *columns, "seq").join(net.select(*keys), keys, "left_anti")
     images = net.where(F.col("op") != DELETE).select(*keys, *columns, "seq")
     return kept.unionByName(images)
 
 
+def merge(base: DataFrame, net: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows after any number of net changes, computing ``net`` once.
+
+    Keys are unique on both sides, so the join meets no skew.
+    """
+    old = base.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in (*columns, "seq")])
+    new = net.select(*keys, "op", *columns, "seq")
+    pick = lambda c: F.when(F.col("op").isNull(), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c)
+    both = old.join(new, keys, "full_outer").where(F.col("op").isNull() | (F.col("op") != DELETE))
+    return both.select(*keys, *[pick(c) for c in (*columns, "seq")])
+
+
 @dataclass(frozen=True)
 class Applied:
     state: DataFrame

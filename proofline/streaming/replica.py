@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from proofline.functions.predicates import instant
 from proofline.sources.changelog import DELETE
 from proofline.sources.tables import LoadError, VersionedTable, path_exists
-from proofline.streaming.apply import is_error, judge, merge, net_changes, table_stats
+from proofline.streaming.apply import is_error, judge, net_changes, overlay, table_stats
 from proofline.streaming.history import lag_seconds
 
 LOADED = "L"  # a base row that came from the snapshot
@@ -106,7 +106,7 @@ class Replica:
     def state(self, before: int | None = None) -> DataFrame:
         """The table as of the last visible batch, with the position of each row."""
         living = self.base.read().where(F.col("op") != DELETE)
-        return merge(living, self._net(before), self.keys, self.columns)
+        return overlay(living, self._net(before), self.keys, self.columns)
 
     def suspended(self, before: int | None = None) -> bool:
         """More errors than the limit since the last resume; a limit of 0 never suspends."""
