@@ -121,6 +121,12 @@ def narrowed_row_diff(source: DataFrame, target: DataFrame, table: Table, block:
     return row_diff(suspect(source), suspect(target), table)
 
 
+def key_set_diff(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Keys that exist on one side only."""
+    found = _differences(source.select(key).distinct(), target.select(key).distinct(), key, {})
+    return found.select(F.col("_key").cast("string").alias("row_key"), "status")
+
+
 def capped(diff: DataFrame, limit: int) -> DataFrame:
     """The first differences of a report; whether the cap was hit must be asked of ``diff``."""
     return diff.orderBy("table_name", "row_key").limit(limit)

@@ -42,3 +42,14 @@ def next_key_status(df: DataFrame, table: str, key: str, next_key: int) -> DataF
         F.lit(next_key).cast("bigint").alias("next_key"),
         (F.coalesce(F.max(key), F.lit(next_key - 1)) >= F.lit(next_key)).alias("collides"),
     )
+
+
+def with_new_guids(df: DataFrame, column: str, natural: list[str]) -> DataFrame:
+    """Give rows without an identifier one that follows from their natural key.
+
+    A random identifier would change when a lost task is repeated; this one does not.
+    """
+    h = F.md5(F.to_json(F.struct(*natural)))
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    made = F.concat_ws("-", *[F.substring(h, at, n) for at, n in cuts])
+    return df.withColumn(column, F.coalesce(F.col(column), made))

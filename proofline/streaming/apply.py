@@ -150,6 +150,27 @@ def table_stats(judged: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
+def table_report(loaded: DataFrame, stats: DataFrame, differences: DataFrame) -> DataFrame:
+    """Per table: rows of the full load, applied changes, and how the row compare went.
+
+    ``loaded`` is (table_name, full_load_rows), ``stats`` is ``table_stats`` by table,
+    ``differences`` are rows of the row compare.
+    """
+    counts = ("full_load_rows", "inserts", "updates", "deletes", "mismatched_rows")
+
+    def part(df: DataFrame) -> DataFrame:
+        return df.select("table_name", *[(F.col(c) if c in df.columns else F.lit(0)).cast("bigint").alias(c) for c in counts])
+
+    mismatched = differences.groupBy("table_name").agg(F.count(F.lit(1)).alias("mismatched_rows"))
+    summed = (
+        part(loaded).unionByName(part(stats)).unionByName(part(mismatched))
+        .groupBy("table_name")
+        .agg(*[F.sum(c).alias(c) for c in counts])
+    )
+    state = F.when(F.col("mismatched_rows") > 0, "mismatched records").otherwise("validated")
+    return summed.withColumn("validation_state", state)
+
+
 def escalate(error_counts: DataFrame, per_table: int = 0, tables: int = 0) -> DataFrame:
     """State of each table under the error limits; a limit of 0 never escalates.
 

@@ -166,3 +166,20 @@ def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
 def test_change_schema():
     s = changelog.change_schema(pay.TRANSACTIONS)
     assert s.names[:4] == ["table_name", "seq", "commit_ts", "op"] and "amount" in s.names
+
+
+def test_statistics_of_a_catalog_table(spark, tmp_path):
+    spark.range(10).selectExpr("CAST(id AS INT) AS id", "'x' AS name", "CAST(1 AS DECIMAL(19,4)) AS m").write.parquet(str(tmp_path / "t"))
+    spark.sql(f"CREATE TABLE stats_small USING parquet LOCATION '{tmp_path / 't'}'")
+    try:
+        tables.refresh_statistics(spark, "stats_small", SMALL)
+        about = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED stats_small").collect()}
+        assert "10 rows" in about["Statistics"]
+    finally:
+        spark.sql("DROP TABLE stats_small")
+
+
+def test_new_guids_are_stable_and_spare_the_given_ones(spark):
+    df = spark.createDataFrame([(1, None), (2, "keep")], "n int, g string")
+    made = lambda: {r.n: r.g for r in keys.with_new_guids(df.repartition(2), "g", ["n"]).collect()}
+    assert made() == made() and made()[2] == "keep" and len(made()[1]) == 36
