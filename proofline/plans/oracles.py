@@ -247,6 +247,10 @@ def sql() -> dict[str, str]:
         "clustered_range": RANGE_SQL,
         "daily_settlement_exact": daily("t.txn_status = 'Captured'"),
         "daily_settlement_folded": daily(FOLDED),
+        "daily_settlement_function": daily(FOLDED),
+        "reconcile_orphans_function": WITH + f"""SELECT 'transactions without a merchant' AS check_name, ({ORPHANS_T}) AS orphan_count
+ UNION ALL SELECT 'batches without a merchant', COUNT(*) FROM batches b WHERE NOT EXISTS (SELECT 1 FROM merchants m WHERE m.merchant_id = b.merchant_id)
+ UNION ALL SELECT 'settlements without a batch', COUNT(*) FROM settlements s WHERE NOT EXISTS (SELECT 1 FROM batches b WHERE b.merchant_id = s.merchant_id AND b.batch_date = s.batch_date)""",
         "daily_settlement_whole": daily(FOLDED, 3650),
         "daily_summary_calendar": WITH + upsert_new,
         "rolling_and_calendar_windows": WITH + f"""SELECT COUNT(*) FILTER (WHERE captured_at >= {ts(q.SUMMARY_AS_OF)} - INTERVAL '{q.SUMMARY_DAYS}' DAY) AS rolling_rows,

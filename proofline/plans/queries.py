@@ -18,6 +18,7 @@ from proofline.operators import checks, compare, keys, orphans, settle, summary
 from proofline.operators import fingerprint as fp
 from proofline.operators.projections import assert_published, project, publish
 from proofline.plans import payments as pay
+from proofline.plans import sql_functions
 from proofline.session import prepare, scratch
 from proofline.sources import delimited, export, tables
 from proofline.streaming import apply, cutover, history, pending
@@ -193,6 +194,27 @@ def daily_settlement_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle.daily_settlement(rows, named, AS_OF, 365 * 10, "folded")
 
 
+@query
+def daily_settlement_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report called from SQL."""
+    sql_functions.register(spark, {"merchants": pay.merchants(spark, sf_dir), "transactions": pay.transactions(spark, sf_dir)})
+    return spark.sql(f"SELECT * FROM daily_settlement_summary(TIMESTAMP '{AS_OF:%Y-%m-%d %H:%M:%S}', {REPORT_DAYS}, true)")
+
+
+@query
+def reconcile_orphans_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation called from SQL: three zeros over whole tables, but for the planted copy's orphans."""
+    made = numbered_batches(spark, sf_dir)
+    frames = {
+        "merchants": pay.merchants(spark, sf_dir),
+        "transactions": pay.migrated(spark, sf_dir),
+        "batches": made,
+        "settlements": settle.derive_settlements(made, ["batch_id"]),
+    }
+    sql_functions.register(spark, frames)
+    return spark.sql("SELECT * FROM reconcile_orphans()")
+
+
 @query
 def daily_summary_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = P.calendar_start(SUMMARY_AS_OF, SUMMARY_DAYS)
