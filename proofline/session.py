@@ -19,17 +19,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "proofline", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "proofline", cores: str = "*", shuffle_partitions: int = 8, extra: dict[str, str] | None = None
+) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
-    return prepare(
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
+    values = {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+        **(extra or {}),
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for name, value in values.items():
+        builder = builder.config(name, value)
+    return prepare(builder.getOrCreate())
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -113,6 +113,10 @@ def merge(base: DataFrame, net: DataFrame, keys: list[str], columns: list[str])
     return both.select(*keys, *[pick(c) for c in (*columns, "seq")])
 
 
+class TaskStopped(RuntimeError):
+    """Too many tables are suspended to go on."""
+
+
 @dataclass(frozen=True)
 class Applied:
     state: DataFrame
@@ -183,3 +187,10 @@ def escalate(error_counts: DataFrame, per_table: int = 0, tables: int = 0) -> Da
         return states.withColumn("task", F.lit("running"))
     suspended = states.agg(F.count_if(F.col("state") == "suspended")).first()[0]
     return states.withColumn("task", F.lit("stopped" if suspended > tables else "running"))
+
+
+def enforce(states: DataFrame) -> DataFrame:
+    """Raise when the task has to stop, else pass the states on."""
+    if not states.where(F.col("task") == "stopped").isEmpty():
+        raise TaskStopped("more tables are suspended than the limit allows")
+    return states

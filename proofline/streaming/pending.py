@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proofline.functions.predicates import instant
+from proofline.sources.tables import VersionedTable
 
 REPORT_AFTER = 300  # seconds
 SUSPEND_AFTER = 1800
@@ -30,3 +31,19 @@ def confirm(
     age = F.unix_seconds(instant(now)) - F.unix_seconds(first)
     state = F.when(age >= suspend_after, "suspended").when(age >= report_after, "confirmed").otherwise("pending")
     return seen.select(*keys, first.alias("first_seen"), state.alias("state"))
+
+
+class PendingMismatches:
+    """The pending table of one replicated table, compared again after each batch."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
+        self.store, self.keys = VersionedTable(spark, path), keys
+
+    def update(self, mismatches: DataFrame, now: datetime) -> DataFrame:
+        """Store and return the next pending table; ``mismatches`` carries the keys that differ."""
+        if self.store.exists():
+            known = self.store.read()
+        else:
+            known = mismatches.select(*self.keys).where("false").withColumn("first_seen", instant(now))
+        self.store.replace(confirm(known, mismatches, now, self.keys))
+        return self.store.read()

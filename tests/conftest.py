@@ -10,10 +10,8 @@ from proofline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    session = local_session("tests", cores="8", shuffle_partitions=4)
+    shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+    session = local_session("tests", cores="8", shuffle_partitions=4, extra=shared)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -86,6 +86,9 @@ def test_escalation(spark):
     assert state(per_table=4) == {"a": "running", "b": "suspended", "c": "suspended"}
     assert {r.task for r in apply.escalate(counts, 4, 1).collect()} == {"stopped"}
     assert {r.task for r in apply.escalate(counts, 4, 2).collect()} == {"running"}
+    apply.enforce(apply.escalate(counts, 4, 2))
+    with pytest.raises(apply.TaskStopped):
+        apply.enforce(apply.escalate(counts, 4, 1))
 
 
 def test_pending_mismatches(spark):
@@ -96,6 +99,15 @@ def test_pending_mismatches(spark):
     assert got == {"a": "suspended", "b": "confirmed", "d": "pending"}
 
 
+def test_pending_table_forgets_what_settled(spark, tmp_path):
+    table = pending.PendingMismatches(spark, str(tmp_path / "p"), ["k"])
+    frame = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k string")
+    states = lambda ks, minutes: {r.k: r.state for r in table.update(frame(*ks), T0 + timedelta(minutes=minutes)).collect()}
+    assert states(["a", "b"], 0) == {"a": "pending", "b": "pending"}
+    assert states(["a"], 6) == {"a": "confirmed"}
+    assert states(["a", "b"], 31) == {"a": "suspended", "b": "pending"}
+
+
 def test_coverage_and_arrival_and_gate(spark):
     covered = spark.createDataFrame([("transactions",), ("merchants",)], "table_name string")
     gaps = cutover.coverage_gap(spark, pay.PAYMENTS, covered)

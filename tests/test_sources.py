@@ -183,3 +183,10 @@ def test_new_guids_are_stable_and_spare_the_given_ones(spark):
     df = spark.createDataFrame([(1, None), (2, "keep")], "n int, g string")
     made = lambda: {r.n: r.g for r in keys.with_new_guids(df.repartition(2), "g", ["n"]).collect()}
     assert made() == made() and made()[2] == "keep" and len(made()[1]) == 36
+
+
+def test_scratch_follows_the_session(spark):
+    from proofline.session import scratch
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert scratch(spark, "x").startswith(shared + "/x-") and scratch(spark, "x") != scratch(spark, "x")
