@@ -36,7 +36,7 @@ HEADLINE = [
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = os.environ.get("BENCH_QUERIES")
     names = HEADLINE if not wanted else sorted(registered()) if wanted == "all" else wanted.split(",")
     spark = local_session("bench", cores=os.environ.get("BENCH_CPUS", "8"))
