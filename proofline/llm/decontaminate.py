@@ -11,10 +11,9 @@ covers enough of the passage and the passage's rarest words, its answer, stand i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,21 +22,21 @@ from proofline.llm import text as tx
 BLOCK = 256
 PASS_BLOCKS = 4
 PASSAGE_WORDS = 64
-WIDTHS = (32, 64)
+WIDTHS = (24, 32, 48, 64)
 STRIDE = 8
 STRETCH = 32
 SPARE = 8
 
 
 def _passages(items: DataFrame) -> DataFrame:
-    """(item_id, part, words): hashes of at most PASSAGE_WORDS folded words, each part once."""
+    """(item_id, part, words): hashes of at most PASSAGE_WORDS lower-cased words, each part once."""
 
     def run(batches):
         for batch in batches:
-            raw, ids = tx.as_bytes(batch.column("text")), batch.column("item_id").to_pylist()
+            raw, ids = tx.as_bytes(pa.compute.utf8_lower(batch.column("text"))), batch.column("item_id").to_pylist()
             out = []
             for a, z in tx.slices(batch):
-                words, offsets, _, _ = tx.word_hashes(raw[a:z], fold=True)
+                words, offsets, _, _ = tx.word_hashes(raw[a:z])
                 for i in range(z - a):
                     own = tx.signed(words[offsets[i] : offsets[i + 1]])
                     cuts = range(0, max(1, len(own)), PASSAGE_WORDS)
@@ -55,9 +54,9 @@ def _frequencies(docs: DataFrame, vocabulary) -> tuple[np.ndarray, int]:
         terms = vocabulary.value
         counts, stretches = np.zeros(len(terms), np.int64), 0
         for batch in batches:
-            raw = tx.as_bytes(batch.column("text"))
+            raw = tx.as_bytes(pa.compute.utf8_lower(batch.column("text")))
             for a, z in tx.slices(batch):
-                words, offsets, _, _ = tx.word_hashes(raw[a:z], fold=True)
+                words, offsets, _, _ = tx.word_hashes(raw[a:z])
                 n = np.diff(offsets)
                 within = np.arange(len(words)) - np.repeat(offsets[:-1], n)
                 first = (within % STRETCH == 0).cumsum()
@@ -135,63 +134,74 @@ def check(passage: np.ndarray, region: np.ndarray, rare: set, order: float, answ
     return share >= order and kept >= answer, share
 
 
+def latent_scores(rows: np.ndarray, own: np.ndarray, values: np.ndarray, n: int, space: dict) -> np.ndarray:
+    """Inner products of n sparse windows (row, term, value; sorted by row) with the passages of a space."""
+    at = np.minimum(np.searchsorted(space["terms"], own), len(space["terms"]) - 1)
+    hit = np.flatnonzero(space["terms"][at] == own)
+    latent = np.zeros((n, space["right"].shape[1]), np.float32)
+    if len(hit):
+        first = np.flatnonzero(np.concatenate([[True], np.diff(rows[hit]) != 0]))
+        latent[rows[hit][first]] = np.add.reduceat(space["right"][at[hit]] * values[hit, None].astype(np.float32), first, axis=0)
+    return latent @ space["latent"].T
+
+
 def _search(docs: DataFrame, vocabulary, idf, spaces, cosine: float, order: float, answer: float) -> DataFrame:
-    def one(words: np.ndarray, energy: np.ndarray, begin: int, end: int) -> Iterator[tuple[int, float, float]]:
-        terms, weight = vocabulary.value, idf.value
-        own, values = weights(words[begin:end], terms, weight)
-        norm = np.sqrt(energy[end] - energy[begin])
-        for space in spaces.value:
-            at = np.minimum(np.searchsorted(space["terms"], own), len(space["terms"]) - 1)
-            hit = space["terms"][at] == own
-            scores = space["latent"] @ (values[hit].astype(np.float32) @ space["right"][at[hit]]) / max(norm, 1e-12)
-            for j in np.flatnonzero(scores >= cosine):
-                passage = space["words"][j]
-                spare = len(passage) // 2
-                region = words[max(0, begin - spare) : end + spare]
-                if j not in space.setdefault("rare", {}):
-                    t = np.searchsorted(terms, passage)
-                    space["rare"][j] = set(passage[np.lexsort((passage, -weight[t]))][:3].tolist())
-                good, share = check(passage, region, space["rare"][j], order, answer)
-                if good:
-                    yield space["items"][j], float(scores[j]), share
+    def windows(words, offsets, at, hit, squares):
+        """Starts, ends and documents of the windows whose share of known terms allows the cosine."""
+        energy = np.concatenate([[0], np.cumsum(squares)])
+        known = np.concatenate([[0], np.cumsum(np.where(hit, squares, 0))])
+        within = np.arange(len(words)) - np.repeat(offsets[:-1], np.diff(offsets))
+        starts = np.flatnonzero(within % STRIDE == 0)
+        doc = np.searchsorted(offsets, starts, "right") - 1
+        for width in WIDTHS:
+            ends = np.minimum(starts + width, offsets[doc + 1])
+            total = energy[ends] - energy[starts]
+            open_ = np.flatnonzero(known[ends] - known[starts] >= cosine**2 * total)
+            for part in np.array_split(open_, len(open_) // 2048 + 1):
+                if len(part):
+                    yield starts[part], ends[part], doc[part], np.sqrt(total[part])
 
     def run(batches):
         terms, weight = vocabulary.value, idf.value
-        unknown = float(weight.max())
+        unknown, rare = float(weight.max()), {}
         for batch in batches:
-            raw, ids = tx.as_bytes(batch.column("text")), batch.column("doc_id").to_pylist()
-            out = []
+            raw, ids = tx.as_bytes(pa.compute.utf8_lower(batch.column("text"))), batch.column("doc_id").to_pylist()
+            best: dict = {}
             for a, z in tx.slices(batch):
-                words, offsets, _, _ = tx.word_hashes(raw[a:z], fold=True)
+                words, offsets, _, _ = tx.word_hashes(raw[a:z])
                 if not len(words):
                     continue
                 at = np.minimum(np.searchsorted(terms, words), len(terms) - 1)
                 hit = terms[at] == words
-                squares = np.where(hit, weight[at], unknown) ** 2
-                energy, known = np.concatenate([[0], np.cumsum(squares)]), np.concatenate([[0], np.cumsum(np.where(hit, squares, 0))])
-                n = np.diff(offsets)
-                within = np.arange(len(words)) - np.repeat(offsets[:-1], n)
-                starts = np.flatnonzero(within % STRIDE == 0)
-                doc = np.searchsorted(offsets, starts, "right") - 1
-                for width in WIDTHS:
-                    ends = np.minimum(starts + width, offsets[doc + 1])
-                    open_ = known[ends] - known[starts] >= cosine**2 * (energy[ends] - energy[starts])
-                    for w in np.flatnonzero(open_):
-                        d, base = doc[w], offsets[doc[w]]
-                        inside = slice(base, offsets[d + 1])
-                        for item, score, share in one(words[inside], energy[base : offsets[d + 1] + 1], int(starts[w] - base), int(ends[w] - base)):
-                            out.append((a + int(d), item, score, share))
-            best: dict = {}
-            for row, item, score, share in out:
-                old = best.get((row, item), (0.0, 0.0))
-                best[row, item] = (max(score, old[0]), max(share, old[1]))
+                for starts, ends, doc, norm in windows(words, offsets, at, hit, np.where(hit, weight[at], unknown) ** 2):
+                    n = ends - starts
+                    place = np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    row = np.repeat(np.arange(len(n)), n)
+                    use = hit[place]
+                    key, times = np.unique(row[use] * len(terms) + at[place[use]], return_counts=True)
+                    row, own = key // len(terms), key % len(terms)
+                    values = np.sqrt(times) * weight[own]
+                    for number, space in enumerate(spaces.value):
+                        scores = latent_scores(row, own, values, len(n), space) / np.maximum(norm, 1e-12)[:, None]
+                        for w, j in zip(*np.nonzero(scores >= cosine), strict=True):
+                            passage = space["words"][j]
+                            if (number, j) not in rare:
+                                t = np.searchsorted(terms, passage)
+                                rare[number, j] = set(passage[np.lexsort((passage, -weight[t]))][:3].tolist())
+                            d, spare = doc[w], len(passage) // 2
+                            region = words[max(offsets[d], starts[w] - spare) : min(offsets[d + 1], ends[w] + spare)]
+                            good, share = check(passage, region, rare[number, j], order, answer)
+                            if good:
+                                name = (a + int(d), space["items"][j])
+                                old = best.get(name, (0.0, 0.0))
+                                best[name] = (max(float(scores[w, j]), old[0]), max(share, old[1]))
             cols = [[ids[r] for r, _ in best], [i for _, i in best], [s for s, _ in best.values()], [s for _, s in best.values()]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)], ["doc_id", "item_id", "cosine", "in_order"])
 
     return docs.mapInArrow(run, "doc_id long, item_id long, cosine double, in_order double")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.3, order: float = 0.8, answer: float = 0.6, rank: int = 256) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.5, order: float = 0.8, answer: float = 0.6, rank: int = 256) -> DataFrame:
     """(doc_id, item_id, cosine, in_order): each document row with each benchmark item it leaks.
 
     docs (doc_id, text), benchmark (item_id, text). cosine and in_order are the best of the document's

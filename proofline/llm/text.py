@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
 from proofline.session import scratch
@@ -59,15 +60,20 @@ def word_hashes(texts: list[bytes], fold: bool = False) -> tuple[np.ndarray, np.
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _powers(_BASE, len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_FOLDED if fold else _VALUES)[data] * up[: len(data)], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = range_hashes(data, starts, ends, _FOLDED if fold else _VALUES)
     offsets = np.concatenate([np.searchsorted(starts, begins), [len(starts)]]).astype(np.int64)
     own = np.repeat(begins, np.diff(offsets))
     return hashes, offsets, starts - own, ends - own
 
 
+def range_hashes(data: np.ndarray, a: np.ndarray, z: np.ndarray, values: np.ndarray = _VALUES) -> np.ndarray:
+    """Hashes of the byte ranges a to z."""
+    up, down = _powers(_BASE, len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values[data] * up[: len(data)], out=total[1:])
+    return mix((total[z] - total[a]) * down[a] + (z - a).astype(np.uint64))
+
+
 def gram_hashes(words: np.ndarray, k: int, base: int = _GRAM_BASE) -> np.ndarray:
     """The hash of every run of k words; none if there are fewer words."""
     n = len(words)
