@@ -7,11 +7,13 @@ shingles in any fixed order, so a set is replicated to these boundary regions an
 order puts shingles that a sketch of all documents finds frequent last, which keeps regions small.
 Inside a region, neighbours in size whose ratio is below t cannot link and alone ones leave at once.
 
-What is left joins region by region, exactly: one pass compares every set with one pivot set of its
-nearest region; sets within reach are one component and need no comparison among themselves. Regions
-whose members are still in several components join again: each set in turn is a pivot, its distances
-are computed only to sets that the size window and the triangle inequality over all earlier pivots
-leave open, and no pair is written that is not a link.
+What is left joins region by region, exactly. Sets first meet as short profiles, their counts by ranges
+of hashes: two sets share no more than the sum of the smaller counts, so most sets leave without their
+shingles having moved. One pass then compares every set with one pivot set of its nearest region;
+sets within reach are one component and need no comparison among themselves. Regions whose members
+are still in several components join again: each set in turn is a pivot, its distances are computed
+only to sets that the size window and the triangle inequality over earlier pivots leave open, and no
+pair is written that is not a link.
 """
 
 from __future__ import annotations
@@ -77,6 +79,44 @@ def frequent_cells(docs: DataFrame, k: int) -> np.ndarray:
     return levels
 
 
+def profile(shingles: np.ndarray) -> bytes:
+    """Counts of the shingles by ranges of hashes, one byte each, for about four shingles a range."""
+    bits = max(2, int(len(shingles) // 4).bit_length())
+    return np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def folded(counts: np.ndarray, size: int) -> np.ndarray:
+    """A profile in `size` ranges; full counters stand for any number."""
+    wide = counts.astype(np.int64)
+    wide[counts == 255] = 1 << 30
+    return np.minimum(wide.reshape(size, -1).sum(1), 1 << 30)
+
+
+def has_partner(sizes: np.ndarray, profiles: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which sets (by rising size) have another one that size and profile do not rule out."""
+    good, last = np.zeros(len(sizes), bool), np.searchsorted(sizes, sizes * den // num, "right")
+    lengths = np.array([len(p) for p in profiles])
+    tables: dict[int, np.ndarray] = {}
+    for i in range(len(sizes)):
+        if last[i] <= i + 1:
+            continue
+        span = int(lengths[i : last[i]].min())
+        if span not in tables:
+            tables[span] = np.full((len(sizes), span), -1, np.int32)
+        table = tables[span]
+        for j in range(i, last[i]):
+            if table[j, 0] < 0:
+                table[j] = folded(profiles[j], span)
+        # near sizes first: most sets with a partner are done by them
+        for a, z in ((i + 1, min(i + 9, last[i])), (i + 9, last[i])):
+            if a < z and not (good[i] and good[a:z].all()):
+                shared = np.minimum(table[a:z], table[i]).sum(1, dtype=np.int64)
+                open_ = den * shared >= num * (sizes[a:z] + sizes[i] - shared)
+                good[a:z] |= open_
+                good[i] |= open_.any()
+    return good
+
+
 def _prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Per document: doc_id, the key of its set, its size, and the shingles of its boundary regions."""
     levels = docs.sparkSession.sparkContext.broadcast(frequent_cells(docs, k))
@@ -86,20 +126,21 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id")
             for a, z in tx.slices(batch):
-                part, keys, sizes, prefixes = batch.slice(a, z - a), [], [], []
+                part, keys, sizes, prefixes, profiles = batch.slice(a, z - a), [], [], [], []
                 for _, s in _sets(part, k):
                     keys.append(set_key(s))
                     sizes.append(len(s))
+                    profiles.append(profile(s))
                     order = np.argsort(level[(s >> np.uint64(46)).astype(np.int64)], kind="stable")
                     prefixes.append(tx.signed(s[order[: len(s) - needed(len(s), num, den) + 1]]) if len(s) else np.zeros(0, np.int64))
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, z - a), pa.array([x for x, _ in keys], pa.int64()), pa.array([y for _, y in keys], pa.int64()), pa.array(sizes, pa.int64()), lists],
-                    ["doc_id", "k1", "k2", "size", "prefix"],
+                    [ids.slice(a, z - a), pa.array([x for x, _ in keys], pa.int64()), pa.array([y for _, y in keys], pa.int64()), pa.array(sizes, pa.int64()), lists, pa.array(profiles, pa.binary())],
+                    ["doc_id", "k1", "k2", "size", "prefix", "profile"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, size long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, size long, prefix array<long>, profile binary")
 
 
 def _shared(regions: DataFrame, num: int, den: int) -> DataFrame:
@@ -136,6 +177,32 @@ def _shared(regions: DataFrame, num: int, den: int) -> DataFrame:
     return dealt.mapInArrow(run, schema).distinct()
 
 
+def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(s, k1, k2): members of regions that have a partner there which their profiles do not rule out."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("size")
+        profiles = [np.frombuffer(x, np.uint8) for x in table.column("profile").to_pylist()]
+        return table.select(["s", "k1", "k2"]).filter(pa.array(has_partner(table.column("size").to_numpy(), profiles, num, den)))
+
+    return rows.groupBy("s", "bucket").applyInArrow(run, "s long, k1 long, k2 long").distinct()
+
+
+def _bucketed(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Large regions (count n) in overlapping ranges of size that hold every pair of sizes that can link."""
+    bucket = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int")
+    parts = F.when(F.col("n") > REGION_ROWS, F.array(bucket, bucket + 1)).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("bucket", F.explode(parts))
+
+
+def _distinct_regions(rows: DataFrame, *more) -> DataFrame:
+    """(s, n) of one region for each different list of members."""
+    cells = rows.groupBy("s").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(k1, k2))").alias("f1"), F.expr("bit_xor(xxhash64(k2, k1, 1))").alias("f2"), *more)
+    if more:
+        cells = cells.where("low <> high")
+    return cells.groupBy("n", "f1", "f2").agg(F.min("s").alias("s")).select("s", "n")
+
+
 def _fetch(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(k1, k2, size, items) for the wanted sets (k1, k2, doc_id), built again from the texts."""
 
@@ -250,6 +317,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: in
     nodes = tx.materialized(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("top")), "nodes")
     rows = named.select("size", "k1", "k2", F.posexplode("prefix").alias("pos", "s"))
     shared = tx.materialized(_shared(rows, num, den).join(nodes.select("k1", "k2", "node"), ["k1", "k2"]), "regions")
+    shared = shared.join(_distinct_regions(shared), "s")
+    profiles = base.where("doc_id is not null").join(nodes.select("k1", "k2", F.col("node").alias("doc_id")), ["k1", "k2", "doc_id"]).select("k1", "k2", "profile").dropDuplicates(["k1", "k2"])
+    near = _open(_bucketed(shared.join(profiles, ["k1", "k2"]), num, den), num, den)
+    shared = tx.materialized(shared.drop("n").join(near, ["s", "k1", "k2"]), "open_regions")
     wanted = shared.select("k1", "k2", F.col("node").alias("doc_id")).distinct()
     sets = tx.materialized(_fetch(docs, wanted, shingle), "sets")
 
@@ -264,15 +335,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: in
     labels = tx.materialized(components(links), "labels")
 
     labelled = shared.join(labels, "node", "left").select("s", "k1", "k2", "node", "size", F.coalesce("component", "node").alias("component"))
-    cells = labelled.groupBy("s").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
-        F.expr("bit_xor(xxhash64(k1, k2))").alias("f1"), F.expr("bit_xor(xxhash64(k2, k1, 1))").alias("f2"),
-    ).where("low <> high")
-    open_cells = cells.groupBy("n", "f1", "f2").agg(F.min("s").alias("s")).select("s", "n")
-    ratio = F.log(F.lit(den / num))
-    bucket = F.floor(F.log(F.col("size").cast("double")) / ratio + 1e-9).cast("int")
-    several = F.array(bucket, bucket + 1)
-    left = labelled.join(open_cells, "s").select("s", "k1", "k2", "node", "component", "size", F.explode(F.when(F.col("n") > REGION_ROWS, several).otherwise(F.array(F.lit(0)))).alias("bucket"))
+    open_cells = _distinct_regions(labelled, F.min("component").alias("low"), F.max("component").alias("high"))
+    left = _bucketed(labelled.join(open_cells, "s"), num, den).select("s", "k1", "k2", "node", "component", "bucket")
     more = _regions(left.join(sets.select("k1", "k2", "items"), ["k1", "k2"]).select("s", "bucket", "node", "component", "items"), num, den)
     more = tx.materialized(more.union(links).union(nodes.where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b"))), "links")
     final = tx.materialized(components(more), "components")

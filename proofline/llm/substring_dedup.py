@@ -28,7 +28,6 @@ from proofline.llm import text as tx
 PICKED = 8
 SHARD_WORDS = 40_000
 STREAM_WORDS = 40_000
-_SECOND = 0xA0761D6478BD642F
 
 
 class Automaton:
@@ -140,19 +139,19 @@ class Automaton:
 def picked(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """For every window the start of its picked run, and the hash at each run start.
 
-    The picked run has the smallest hash in the window, the last one of equals.
+    The picked run has the smallest hash in the window, the first one of equals.
     """
     runs = tx.gram_hashes(words, PICKED)
     n, wide = len(words) - window + 1, window - PICKED + 1
     if n <= 0:
         return np.zeros(0, np.int64), runs
-    # minima of all stretches of `wide` hashes by doubling; later positions win ties
+    # minima of all stretches of `wide` hashes by doubling; earlier positions win ties
     best, size = np.arange(len(runs)), 1
     while size * 2 <= wide:
         left, right = best[:-size], best[size:]
-        best, size = np.where(runs[right] <= runs[left], right, left), size * 2
+        best, size = np.where(runs[right] < runs[left], right, left), size * 2
     left, right = best[:n], best[wide - size : wide - size + n]
-    return np.where(runs[right] <= runs[left], right, left), runs
+    return np.where(runs[right] < runs[left], right, left), runs
 
 
 def _docs(batch: pa.RecordBatch, raw: list[bytes]):
@@ -187,26 +186,26 @@ def _picks(docs: DataFrame, window: int) -> DataFrame:
 def _segments(docs: DataFrame, window: int) -> DataFrame:
     """Stretches of windows with one picked run that stands in several documents.
 
-    (doc_id, row_key, run, start, text, h1, h2): start is the number of the first word, h1 and h2 are
-    the window hashes.
+    (doc_id, row_key, run, start, text, h): start is the number of the first word, h holds the window
+    hashes. A run and a window hash together name a window by 128 bits.
     """
 
     def run(batches):
-        names = ["doc_id", "row_key", "run", "start", "text", "h1", "h2"]
+        names = ["doc_id", "row_key", "run", "start", "text", "h"]
         longs = pa.list_(pa.int64())
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), longs, longs]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), longs]
         for batch in batches:
             raw, ids, keys, wanted = (tx.as_bytes(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), batch.column("runs"))
             rows, held = [], 0
             for i, words, starts, ends in _docs(batch, raw):
                 at, runs = picked(words, window)
                 good = np.isin(tx.signed(runs[at]), wanted[i].values.to_numpy())
-                h1, h2 = tx.signed(tx.gram_hashes(words, window)), tx.signed(tx.gram_hashes(words, window, _SECOND))
+                h = tx.signed(tx.gram_hashes(words, window))
                 cut = np.flatnonzero(np.diff(at)) + 1
                 for a, z in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(at)]]), strict=True):
                     if z > a and good[a]:
                         piece = raw[i][starts[a] : ends[z + window - 2]]
-                        rows.append((ids[i], keys[i], int(tx.signed(runs[at[a]])), int(a), piece, h1[a:z], h2[a:z]))
+                        rows.append((ids[i], keys[i], int(tx.signed(runs[at[a]])), int(a), piece, h[a:z]))
                         held += len(piece)
                 if held > 1 << 22:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
@@ -214,7 +213,7 @@ def _segments(docs: DataFrame, window: int) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, "doc_id long, row_key long, run long, start long, text binary, h1 array<long>, h2 array<long>")
+    return docs.mapInArrow(run, "doc_id long, row_key long, run long, start long, text binary, h array<long>")
 
 
 def _stream(rows: DataFrame, window: int) -> DataFrame:
@@ -292,11 +291,10 @@ def remove_repeats(docs: DataFrame, window: int = 50, with_text: bool = False) -
     candidates = tx.materialized(rows.select("doc_id", "row_key", "text", "runs"), "candidates")
     segments = tx.materialized(_segments(candidates, window), "segments")
 
-    windows = segments.select("doc_id", "row_key", "start", F.explode(F.arrays_zip("h1", "h2")).alias("h")).select("doc_id", "h.h1", "h.h2")
-    owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    owned = owners.select("h1", "h2", F.col("low").alias("doc_id"))
-    places = segments.select("doc_id", "row_key", "start", F.posexplode(F.arrays_zip("h1", "h2")).alias("at", "h"))
-    places = places.select("doc_id", "row_key", "start", "at", "h.h1", "h.h2").join(owned, ["doc_id", "h1", "h2"])
+    windows = segments.select("run", "doc_id", F.explode("h").alias("h"))
+    owners = windows.groupBy("run", "h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    owned = tx.materialized(owners.select("run", "h", F.col("low").alias("doc_id")), "owners")
+    places = segments.select("run", "doc_id", "row_key", "start", F.posexplode("h").alias("at", "h")).join(owned, ["run", "h", "doc_id"])
     spans = places.groupBy("row_key", "start").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     reference = segments.select("doc_id", "row_key", "run", "start", "text").join(spans, ["row_key", "start"])
     words = F.split(F.col("text").cast("string"), r"[\x20\x09-\x0D]+")

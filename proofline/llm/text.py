@@ -130,7 +130,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialized(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared scratch folder and read again, which cuts its lineage."""
+    """The frame written to the shared scratch folder and read again, which cuts its lineage.
+
+    The driver's garbage is collected afterwards, as Spark drops the shuffle files of a finished step
+    only when the driver has forgotten it.
+    """
     path = scratch(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
+    frame.sparkSession.sparkContext._jvm.System.gc()
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
