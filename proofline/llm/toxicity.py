@@ -146,7 +146,7 @@ def fit(labelled: DataFrame, toxic: int = SAMPLE_TOXIC, ordinary: int = SAMPLE_O
     model["name"] = hash((tuple(model["toxic"]), tuple(model["ordinary"])))
     model["threshold"] = WINDOW
     found = _largest(chosen, labelled.sparkSession.sparkContext.broadcast(model), "toxic int").groupBy("toxic", "distance").agg(F.count("*").alias("n")).collect()
-    best = (-2.0, 0)
+    best = (0.0, WINDOW + 1)  # rejects nothing unless some distance tells the labels apart
     for t in sorted({r["distance"] for r in found}):
         hit = [sum(r["n"] for r in found if r["toxic"] == c and r["distance"] >= t) / max(1, n.get(c, 0)) for c in (0, 1)]
         best = max(best, (hit[1] - hit[0], t))
