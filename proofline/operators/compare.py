@@ -127,11 +127,6 @@ def key_set_diff(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return found.select(F.col("_key").cast("string").alias("row_key"), "status")
 
 
-def capped(diff: DataFrame, limit: int) -> DataFrame:
-    """The first differences of a report; whether the cap was hit must be asked of ``diff``."""
-    return diff.orderBy("table_name", "row_key").limit(limit)
-
-
 def anchor_diff(original: DataFrame, loaded: DataFrame, table: Table, column: str) -> DataFrame:
     """Loaded text against the file it came from, byte for byte.
 

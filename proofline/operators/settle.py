@@ -44,17 +44,17 @@ def settlement_range(transactions: DataFrame, lo: datetime, hi: datetime, match:
 
 
 def daily_settlement(
-    transactions: DataFrame, merchants: DataFrame, as_of: datetime, days_back: int = 7, match: str = "exact"
+    transactions: DataFrame, merchants: DataFrame, as_of: datetime | None, days_back: int | None = 7, match: str = "exact"
 ) -> DataFrame:
-    """Per merchant and capture day: count, gross, fees and net of the rolling window.
+    """Per merchant and capture day: count, gross, fees and net of the rolling window, or of all days without one.
 
     Transactions shrink to one row per merchant and day before they meet the
     merchants, so a merchant with most of the transactions joins as a few rows.
     Names are attached after that and grouped again, in case an id has several.
     """
-    rows = transactions.where(
-        rolling_window(F.col("captured_at"), as_of, days_back) & matches(F.col("txn_status"), CAPTURED, match)
-    )
+    rows = transactions.where(matches(F.col("txn_status"), CAPTURED, match) & F.col("captured_at").isNotNull())
+    if days_back is not None:
+        rows = rows.where(rolling_window(F.col("captured_at"), as_of, days_back))
     daily = rows.groupBy("merchant_id", F.to_date("captured_at").alias("capture_date")).agg(*totals())
     named = daily.join(merchants.select("merchant_id", "legal_name"), "merchant_id")
     return named.groupBy("merchant_id", "legal_name", "capture_date").agg(

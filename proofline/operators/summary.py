@@ -113,7 +113,7 @@ class RunLog:
         except Exception as exc:
             # a staged result stays marked as such: the next run completes it
             if not staged:
-                self.add(run_id, job, 2, "failed", error=str(exc)[:4000])
+                self.add(run_id, job, 2, "failed", error=str(exc))
             raise
         self.add(run_id, job, 2, "succeeded", rows=rows)
         return rows

@@ -188,12 +188,13 @@ LATEST = f"SELECT DISTINCT CAST(captured_at AS DATE) AS capture_date FROM transa
 
 DAILY = """SELECT m.merchant_id, m.legal_name, CAST(t.captured_at AS DATE) AS capture_date, {totals}
  FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id
- WHERE t.captured_at >= {as_of} - INTERVAL '{days}' DAY AND {match}
+ WHERE {window} AND {match}
  GROUP BY m.merchant_id, m.legal_name, CAST(t.captured_at AS DATE)"""
 
 
-def daily(match: str, days: int = q.REPORT_DAYS) -> str:
-    return WITH + DAILY.format(totals=TOTALS, as_of=ts(q.AS_OF), days=days, match=match)
+def daily(match: str, days: int | None = q.REPORT_DAYS) -> str:
+    window = "t.captured_at IS NOT NULL" if days is None else f"t.captured_at >= {ts(q.AS_OF)} - INTERVAL '{days}' DAY"
+    return WITH + DAILY.format(totals=TOTALS, window=window, match=match)
 
 
 def summary(match: str, days: int) -> str:
@@ -251,7 +252,7 @@ def sql() -> dict[str, str]:
         "reconcile_orphans_function": WITH + f"""SELECT 'transactions without a merchant' AS check_name, ({ORPHANS_T}) AS orphan_count
  UNION ALL SELECT 'batches without a merchant', COUNT(*) FROM batches b WHERE NOT EXISTS (SELECT 1 FROM merchants m WHERE m.merchant_id = b.merchant_id)
  UNION ALL SELECT 'settlements without a batch', COUNT(*) FROM settlements s WHERE NOT EXISTS (SELECT 1 FROM batches b WHERE b.merchant_id = s.merchant_id AND b.batch_date = s.batch_date)""",
-        "daily_settlement_whole": daily(FOLDED, 3650),
+        "daily_settlement_whole": daily(FOLDED, None),
         "daily_summary_calendar": WITH + upsert_new,
         "rolling_and_calendar_windows": WITH + f"""SELECT COUNT(*) FILTER (WHERE captured_at >= {ts(q.SUMMARY_AS_OF)} - INTERVAL '{q.SUMMARY_DAYS}' DAY) AS rolling_rows,
  COUNT(*) FILTER (WHERE captured_at >= date_trunc('day', {ts(q.SUMMARY_AS_OF)} - INTERVAL '{q.SUMMARY_DAYS}' DAY)) AS calendar_rows FROM transactions""",

@@ -191,7 +191,7 @@ def daily_settlement_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_settlement_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report over all of history: the full scan."""
     rows, named = pay.transactions(spark, sf_dir), pay.merchants(spark, sf_dir)
-    return settle.daily_settlement(rows, named, AS_OF, 365 * 10, "folded")
+    return settle.daily_settlement(rows, named, None, None, "folded")
 
 
 @query

@@ -56,7 +56,9 @@ def export_by_day(transactions: DataFrame, path: str, days: int | None = None) -
     Rows are rebalanced by day: small days share a task, and a day holding most of
     the rows is split over several tasks and files instead of filling one.
     """
-    rows = export_projection(since_latest_days(transactions, days) if days else transactions)
+    if days is not None and days < 1:
+        raise ValueError("days must be at least 1")
+    rows = export_projection(since_latest_days(transactions, days) if days is not None else transactions)
     writer = (
         rows.hint("rebalance", DAY)
         .sortWithinPartitions(DAY, "txn_id")

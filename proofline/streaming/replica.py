@@ -62,12 +62,13 @@ class Replica:
     # -- full load ---------------------------------------------------------
 
     def load(self, snapshot: DataFrame, seq: int) -> None:
-        """Take a snapshot that holds every change up to position ``seq``."""
+        """Take a snapshot that holds every change up to position ``seq``; what was applied before is behind it."""
+        newest = self.stats().agg(F.max("batch")).first()[0]
         rows = snapshot.select(
             *self.keys, *self.columns, F.lit(seq).cast("long").alias("seq"),
             F.lit(None).cast("timestamp").alias("commit_ts"), F.lit(LOADED).alias("op"),
         )
-        self.base.replace(rows, seq=seq, tag="-1")
+        self.base.replace(rows, seq=seq, tag=str(-1 if newest is None else newest))
 
     # -- reading -----------------------------------------------------------
 
@@ -122,6 +123,9 @@ class Replica:
     def apply_batch(self, changes: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body. Stream batches take even numbers, resumes odd ones."""
         batch = 2 * batch_id
+        if not self.stats().where(F.col("batch") == batch).isEmpty():
+            # applied before: after a compaction nothing may be judged against its own effect
+            return
         mine = changes.select(*[F.col(f.name).cast(f.dataType) for f in self._changes.fields])
         if self.suspended(batch):
             self._hold(mine, batch)
@@ -188,6 +192,9 @@ class Replica:
         done = lines.agg(F.coalesce(F.max(F.when(F.col("kind") == "resume", F.col("batch"))), F.lit(-1))).first()[0]
         backlog_schema = T.StructType([*self._changes.fields, T.StructField("batch", T.LongType())])
         held = self._visible(self._read("backlog", backlog_schema)).where(F.col("batch") > done)
+        if held.isEmpty():
+            # the newest batch may be an earlier resume, whose journal must stay
+            return
         self._apply(held.drop("batch"), (newest // 2) * 2 + 1, "resume")
 
     def compact(self) -> None:

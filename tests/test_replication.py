@@ -212,6 +212,34 @@ def test_suspended_table_holds_its_changes(spark, tmp_path):
     assert s.rows() == {1: "1.3000", 7: "7.7000"}
 
 
+def test_second_resume_keeps_the_first(spark, tmp_path):
+    s = Setup(spark, tmp_path, error_limit=1)
+    s.replica.apply_batch(log(spark, (11, "U", 7, "7"), (12, "U", 8, "8")), 0)
+    s.replica.apply_batch(log(spark, (13, "U", 1, "1.3"), (14, "I", 7, "7")), 1)
+    s.replica.resume()
+    before = s.rows()
+    s.replica.resume()
+    assert s.rows() == before and before[1] == "1.3000"
+
+
+def test_second_load_replaces_what_was_applied(spark, tmp_path):
+    s = Setup(spark, tmp_path)
+    s.replica.apply_batch(log(spark, (11, "U", 1, "5")), 0)
+    snapshot = s.replica.state().select("k", "amount").where("k = 1").withColumn("amount", F.lit("8").cast("decimal(19,4)"))
+    s.replica.load(snapshot, 50)
+    assert s.rows() == {1: "8.0000"}
+
+
+def test_replay_after_compaction_keeps_statistics(spark, tmp_path):
+    s = Setup(spark, tmp_path)
+    batch = log(spark, (11, "I", 7, "7"), (12, "U", 1, "2"), (13, "U", 9, "9"))
+    s.replica.apply_batch(batch, 0)
+    s.replica.compact()
+    before = s.replica.stats().drop("applied_at").collect()
+    s.replica.apply_batch(batch, 0)
+    assert s.replica.stats().drop("applied_at").collect() == before and s.replica.errors().count() == 1
+
+
 def test_many_batches_equal_one(spark, tmp_path):
     rnd = random.Random(7)
     s = Setup(spark, tmp_path)
