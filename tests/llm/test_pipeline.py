@@ -26,4 +26,4 @@ def test_stages(spark, sf):
 
 
 def test_registered():
-    assert {"pipeline", *(f"op{n}_" for n in range(1, 11))} <= {n if n == "pipeline" else n[: n.index("_") + 1] for n in entry.queries()}
+    assert {"pipeline", *(f"op{n}_" for n in range(1, 11))} <= {n if n == "pipeline" else n[: n.find("_") + 1] for n in entry.queries()}
