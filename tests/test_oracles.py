@@ -10,6 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import __spark_entry__ as entry  # noqa: E402
 import compare  # noqa: E402
 
+from proofline.plans.queries import registered  # noqa: E402
+
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
@@ -19,10 +21,11 @@ def con(sf):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    """All of the library's own; queries that are added to them may have no SQL."""
+    assert set(registered()) <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, sf, con, name):
     problem = compare.difference(QUERIES[name](spark, sf), con, ORACLES[name])
     assert problem is None, problem
