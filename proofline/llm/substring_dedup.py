@@ -7,10 +7,13 @@ every word whether the last `window` words stand in the reference and in which s
 
 Which passages can repeat at all is settled without moving texts: of every `window` words the document
 picks one short run by the order of hashes (winnowing), so two documents with a common window pick the
-same run in it. Runs picked in two documents mark candidates; only their surroundings go further. The
-window's picked run also names the shard, so a window and its reference always meet. Reference passages
-are the windows a grouped minimum over window hashes assigns to a document; a frequent passage is one
-row for each task there. Streams of a busy shard are split among several copies of its automaton.
+same run in it. Runs picked in two different texts mark candidates; only their surroundings, the
+segments, go further. Equal texts and equal segments are named by digests, and each is looked at once, in
+its smallest document: of a text of a smaller document, and of a segment of one, every window is
+removable. The window's picked run also names the shard, so a window and its reference always meet.
+Reference passages are the windows a grouped minimum over window hashes assigns to a document; a frequent
+passage is one row for each task there. Streams of a busy shard are split among several copies of its
+automaton.
 """
 
 from __future__ import annotations
@@ -167,45 +170,74 @@ def _table(names, kinds, columns) -> pa.RecordBatch:
 
 
 def _picks(docs: DataFrame, window: int) -> DataFrame:
-    """(row_key, doc_id, run) for the picked runs of every document, each once."""
+    """(row_key, digest, run) for the picked runs of every document, each once."""
 
     def run(batches):
         for batch in batches:
-            raw, ids, keys = tx.as_bytes(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist()
+            raw, digests, keys = tx.as_bytes(batch.column("text")), batch.column("digest").to_pylist(), batch.column("row_key").to_pylist()
             cols = [[], [], []]
             for i, words, _, _ in _docs(batch, raw):
                 at, runs = picked(words, window)
                 own = np.unique(runs[np.unique(at)]) if len(at) else np.zeros(0, np.uint64)
-                for c, v in zip(cols, (np.full(len(own), keys[i]), np.full(len(own), ids[i]), tx.signed(own)), strict=True):
+                short = int.from_bytes(digests[i][:8], "little", signed=True)
+                for c, v in zip(cols, (np.full(len(own), keys[i]), np.full(len(own), short), tx.signed(own)), strict=True):
                     c.append(v)
-            yield _table(["row_key", "doc_id", "run"], [pa.int64()] * 3, cols)
+            yield _table(["row_key", "digest", "run"], [pa.int64()] * 3, cols)
 
-    return docs.select("row_key", "doc_id", "text").mapInArrow(run, "row_key long, doc_id long, run long")
+    return docs.select("row_key", "digest", "text").mapInArrow(run, "row_key long, digest long, run long")
+
+
+def _stretches(at: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First window and the one after the last of the stretches with one picked run."""
+    cut = np.flatnonzero(np.diff(at)) + 1
+    ends = [*cut.tolist(), len(at)]
+    return zip([0, *cut.tolist()], ends, strict=True) if len(at) else iter(())
+
+
+def _places(docs: DataFrame, window: int) -> DataFrame:
+    """(doc_id, row_key, run, start, n, piece) of the stretches of windows whose picked run is in `runs`.
+
+    start is the number of the first word, n the number of windows, piece the digest of the bytes.
+    """
+
+    def run(batches):
+        names = ["doc_id", "row_key", "run", "start", "n", "piece"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        for batch in batches:
+            raw, ids, keys, wanted = (tx.as_bytes(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), batch.column("runs"))
+            rows = []
+            for i, words, starts, ends in _docs(batch, raw):
+                at, runs = picked(words, window)
+                good = np.isin(tx.signed(runs[at]), wanted[i].values.to_numpy())
+                for a, z in _stretches(at):
+                    if good[a]:
+                        piece = hashlib.blake2b(raw[i][starts[a] : ends[z + window - 2]], digest_size=16).digest()
+                        rows.append((ids[i], keys[i], int(tx.signed(runs[at[a]])), a, z - a, piece))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
+
+    return docs.mapInArrow(run, "doc_id long, row_key long, run long, start long, n long, piece binary")
 
 
 def _segments(docs: DataFrame, window: int) -> DataFrame:
-    """Stretches of windows with one picked run that stands in several documents.
+    """(doc_id, row_key, run, start, text, h) of the stretches that begin at `begins`.
 
-    (doc_id, row_key, run, start, text, h): start is the number of the first word, h holds the window
-    hashes. A run and a window hash together name a window by 128 bits.
+    h holds the window hashes. A run and a window hash together name a window by 128 bits.
     """
 
     def run(batches):
         names = ["doc_id", "row_key", "run", "start", "text", "h"]
-        longs = pa.list_(pa.int64())
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), longs]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         for batch in batches:
-            raw, ids, keys, wanted = (tx.as_bytes(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), batch.column("runs"))
+            raw, ids, keys, begins = (tx.as_bytes(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), batch.column("begins"))
             rows, held = [], 0
             for i, words, starts, ends in _docs(batch, raw):
                 at, runs = picked(words, window)
-                good = np.isin(tx.signed(runs[at]), wanted[i].values.to_numpy())
-                h = tx.signed(tx.gram_hashes(words, window))
-                cut = np.flatnonzero(np.diff(at)) + 1
-                for a, z in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(at)]]), strict=True):
-                    if z > a and good[a]:
+                h, wanted = tx.signed(tx.gram_hashes(words, window)), set(begins[i].as_py())
+                for a, z in _stretches(at):
+                    if a in wanted:
                         piece = raw[i][starts[a] : ends[z + window - 2]]
-                        rows.append((ids[i], keys[i], int(tx.signed(runs[at[a]])), int(a), piece, h[a:z]))
+                        rows.append((ids[i], keys[i], int(tx.signed(runs[at[a]])), a, piece, h[a:z]))
                         held += len(piece)
                 if held > 1 << 22:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
@@ -216,8 +248,29 @@ def _segments(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row_key long, run long, start long, text binary, h array<long>")
 
 
+def _smallest(rows: DataFrame, by: str) -> DataFrame:
+    """The rows with `low`, the smallest doc_id among the rows with the same value of the column `by`.
+
+    Values of a thousandth of all rows or more are at most a thousand, and these are broadcast; no other
+    value can fill a task. `rows` is read several times and should be a table.
+    """
+    total = rows.count()
+    groups = rows.groupBy(by).agg(F.min("doc_id").alias("low"), F.count("*").alias("_n"))
+    groups = tx.materialized(groups, "smallest")
+    hot = F.col("_n") * 1000 >= total
+    often, seldom = F.broadcast(groups.where(hot).drop("_n")), groups.where(~hot).drop("_n")
+    rest = rows.join(F.broadcast(groups.where(hot).select(by)), by, "left_anti").join(seldom, by)
+    return rows.join(often, by).unionByName(rest)
+
+
+def _ranges(starts: np.ndarray) -> np.ndarray:
+    """Ascending numbers as first, last, first, last, ... of their unbroken ranges."""
+    gap = np.flatnonzero(np.diff(starts) > 1)
+    return np.stack([starts[np.append(0, gap + 1)], starts[np.append(gap, len(starts) - 1)]], 1).ravel()
+
+
 def _stream(rows: DataFrame, window: int) -> DataFrame:
-    """(row_key, starts) of removable windows; a shard's reference rows come before its streams."""
+    """(row_key, ranges) of removable windows; a shard's reference rows come before its streams."""
 
     def run(batches):
         shard, automaton, ready = None, None, False
@@ -236,12 +289,12 @@ def _stream(rows: DataFrame, window: int) -> DataFrame:
                 hits = list(automaton.covered(text.split(), window, doc))
                 if hits:
                     keys.append(key)
-                    found.append([start + h for h in hits])
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["row_key", "starts"])
+                    found.append(_ranges(np.array(hits, np.int64) + start))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["row_key", "ranges"])
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-    return dealt.mapInArrow(run, "row_key long, starts array<long>")
+    return dealt.mapInArrow(run, "row_key long, ranges array<long>")
 
 
 def _digests(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
@@ -250,15 +303,14 @@ def _digests(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw, keys = tx.as_bytes(batch.column("text")), batch.column("row_key").to_pylist()
-            starts = batch.column("starts").to_pylist() if "starts" in batch.schema.names else [None] * len(raw)
+            ranges = batch.column("ranges").to_pylist() if "ranges" in batch.schema.names else [None] * len(raw)
             out = []
-            for text, hits in zip(raw, starts, strict=True):
+            for text, hits in zip(raw, ranges, strict=True):
                 words = text.split()
                 if hits:
                     edge = np.zeros(len(words) + 1, np.int64)
-                    hits = np.unique(np.asarray(hits))
-                    np.add.at(edge, hits, 1)
-                    np.add.at(edge, hits + window, -1)
+                    np.add.at(edge, hits[::2], 1)
+                    np.add.at(edge, np.array(hits[1::2]) + window, -1)
                     kept = [w for w, c in zip(words, np.cumsum(edge), strict=False) if c == 0]
                 else:
                     kept = words
@@ -283,19 +335,27 @@ def remove_repeats(docs: DataFrame, window: int = 50, with_text: bool = False) -
         raise ValueError(f"window must be above {PICKED}")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    picks = _picks(docs.where("doc_id is not null and text is not null"), window)
-    shared = picks.groupBy("run").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("run")
+    named = docs.where("doc_id is not null and text is not null").withColumn("digest", F.unhex(F.sha2("text", 256)))
+    texts = _smallest(tx.materialized(named.select("digest", "doc_id", "row_key"), "texts"), "digest")
+    texts = tx.materialized(texts.select("row_key", (F.col("low") < F.col("doc_id")).alias("copy")).distinct(), "copies")
+    copies, firsts = texts.where("copy").select("row_key", F.lit(True).alias("copy")), texts.where("not copy").select("row_key")
+
+    picks = _picks(named, window)
+    shared = picks.groupBy("run").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("run")
     shared = tx.materialized(shared, "shared_runs")
-    wanted = picks.join(shared, "run").groupBy("row_key").agg(F.collect_set("run").alias("runs"))
-    rows = docs.where("doc_id is not null and text is not null").join(wanted, "row_key").dropDuplicates(["row_key"])
+    wanted = picks.join(firsts, "row_key", "left_semi").join(shared, "run").groupBy("row_key").agg(F.collect_set("run").alias("runs"))
+    rows = named.join(wanted, "row_key").dropDuplicates(["row_key"])
     candidates = tx.materialized(rows.select("doc_id", "row_key", "text", "runs"), "candidates")
-    segments = tx.materialized(_segments(candidates, window), "segments")
+    places = _smallest(tx.materialized(_places(candidates, window), "places"), "piece")
+    places = tx.materialized(places.select("row_key", "start", "n", (F.col("low") < F.col("doc_id")).alias("copy")), "judged")
+    begins = places.where("not copy").groupBy("row_key").agg(F.collect_set("start").alias("begins"))
+    segments = tx.materialized(_segments(candidates.drop("runs").join(begins, "row_key"), window), "segments")
 
     windows = segments.select("run", "doc_id", F.explode("h").alias("h"))
     owners = windows.groupBy("run", "h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     owned = tx.materialized(owners.select("run", "h", F.col("low").alias("doc_id")), "owners")
-    places = segments.select("run", "doc_id", "row_key", "start", F.posexplode("h").alias("at", "h")).join(owned, ["run", "h", "doc_id"])
-    spans = places.groupBy("row_key", "start").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    held = segments.select("run", "doc_id", "row_key", "start", F.posexplode("h").alias("at", "h")).join(owned, ["run", "h", "doc_id"])
+    spans = held.groupBy("row_key", "start").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     reference = segments.select("doc_id", "row_key", "run", "start", "text").join(spans, ["row_key", "start"])
     words = F.split(F.col("text").cast("string"), r"[\x20\x09-\x0D]+")
     cut = F.array_join(F.slice(words, F.col("first") + 1, F.col("last") - F.col("first") + window), " ").cast("binary")
@@ -309,11 +369,14 @@ def remove_repeats(docs: DataFrame, window: int = 50, with_text: bool = False) -
     heads = reference.select(shard.alias("shard"), "doc_id", "text").join(load, "shard")
     heads = heads.select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "doc_id", F.lit(0).cast("long").alias("row_key"), F.lit(0).cast("long").alias("start"), "text")
     streams = parts.join(load, "shard").select("shard", F.pmod(F.xxhash64("row_key", "start"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "doc_id", "row_key", "start", "text")
-    hits = _stream(heads.union(streams), window).groupBy("row_key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    copied = places.where("copy").select("row_key", F.array("start", F.col("start") + F.col("n") - 1).alias("ranges"))
+    hits = copied.union(_stream(heads.union(streams), window)).groupBy("row_key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
-    changed = tx.materialized(_digests(candidates.join(hits, "row_key").select("doc_id", "row_key", "text", "starts"), window, with_text), "changed")
+    changed = tx.materialized(_digests(candidates.join(hits, "row_key").select("doc_id", "row_key", "text", "ranges"), window, with_text), "changed")
     plain = _digests(docs.select("doc_id", "row_key", "text"), window, with_text)
     new = changed.select("row_key", *(F.col(c).alias(f"new_{c}") for c in ("n_removed", "kept_sha256", "kept_text")))
-    both = plain.join(new, "row_key", "left")
-    pick = lambda c: F.when(F.col("new_n_removed").isNotNull(), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
+    both = plain.join(new, "row_key", "left").join(copies, "row_key", "left")
+    gone = F.coalesce("copy", F.lit(False)) & (F.col("n_words") >= window)
+    nothing = {"n_removed": F.col("n_words"), "kept_sha256": F.sha2(F.lit(""), 256), "kept_text": F.lit("") if with_text else F.lit(None).cast("string")}
+    pick = lambda c: F.when(gone, nothing[c]).when(F.col("new_n_removed").isNotNull(), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
     return both.select("doc_id", "n_words", pick("n_removed"), pick("kept_sha256"), pick("kept_text"))
