@@ -73,12 +73,19 @@ def encoder(path: str) -> IdEncoder:
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of ranks below 2**32."""
     ranks = ranks.astype(np.uint32)
-    sizes = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF).astype(np.int64)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.int64)
+    sizes = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     padded[: len(ranks)] = sizes - 1
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6])).sum(1).astype(np.uint8)
-    octets = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), octets[np.arange(4) < sizes[:, None]].tobytes()
+    four = padded.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    ends = np.cumsum(sizes, dtype=np.int64)
+    begins = ends - sizes
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[begins] = ranks.astype(np.uint8)
+    for k in (1, 2, 3):
+        more = np.flatnonzero(sizes > k)
+        data[begins[more] + k] = (ranks[more] >> np.uint32(8 * k)).astype(np.uint8)
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
