@@ -78,7 +78,7 @@ def registered() -> dict:
 
 
 def sql() -> dict[str, str]:
-    return {"op3_top_k": TOP_K}
+    return {"op3_top_k": TOP_K, "op6_substring_dedup": REPEATS}
 
 
 TOP_K = """
@@ -94,3 +94,24 @@ WITH scaled AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+REPEATS = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT row_id, doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) AS k
+  FROM (SELECT row_id, doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM texts WHERE doc_id IS NOT NULL)
+), firsts AS (
+  SELECT k, min(doc_id) AS low FROM windows GROUP BY k HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT row_id, unnest(range(s, s + 50)) AS p FROM windows JOIN firsts USING (k) WHERE low < doc_id
+), words AS (
+  SELECT row_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM texts WHERE row_id IN (SELECT row_id FROM gone)
+), changed AS (
+  SELECT row_id, count(*) FILTER (WHERE g.p IS NOT NULL) AS n, string_agg(word, ' ' ORDER BY words.p) FILTER (WHERE g.p IS NULL) AS kept
+  FROM words LEFT JOIN gone g USING (row_id, p) GROUP BY row_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM texts LEFT JOIN changed USING (row_id)
+"""
