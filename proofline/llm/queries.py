@@ -78,7 +78,7 @@ def registered() -> dict:
 
 
 def sql() -> dict[str, str]:
-    return {"op3_top_k": TOP_K, "op6_substring_dedup": REPEATS}
+    return {"op3_top_k": TOP_K, "op6_substring_dedup": REPEATS, "op10_jaccard_join": LINKED}
 
 
 TOP_K = """
@@ -115,3 +115,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
   sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
 FROM texts LEFT JOIN changed USING (row_id)
 """
+
+LINKED = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row_id, doc_id, array_to_string(w[s : s + 4], ' ') AS g
+  FROM (SELECT row_id, doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS s FROM texts)
+), sizes AS (
+  SELECT row_id, count(*) AS n FROM shingles GROUP BY row_id
+), common AS (
+  SELECT a.row_id AS x, b.row_id AS y, any_value(a.doc_id) AS a, any_value(b.doc_id) AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.row_id < b.row_id
+  WHERE a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY a.row_id, b.row_id
+), links AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT a, b, shared, p.n + q.n - shared AS united FROM common JOIN sizes p ON p.row_id = x JOIN sizes q ON q.row_id = y
+  ) WHERE 100 * shared >= 80 * united AND a <> b
+), ways AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, b AS other FROM ways
+  UNION
+  SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.other
+), lowest AS (
+  SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id
+)
+SELECT texts.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(texts.doc_id, coalesce(low, texts.doc_id)) AS component_id
+FROM texts LEFT JOIN sizes USING (row_id) LEFT JOIN lowest ON lowest.doc_id = texts.doc_id
+"""
