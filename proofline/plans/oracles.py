@@ -207,6 +207,10 @@ RANGE_SQL = WITH + f"""SELECT merchant_id, COUNT(*) AS txn_count, CAST(SUM(amoun
  WHERE captured_at >= {ts(q.RANGE[0])} AND captured_at < {ts(q.RANGE[1])} AND {FOLDED} GROUP BY merchant_id"""
 
 STATE = WITH + state_sql("TRUE")
+CONFLICTS = WITH + "SELECT k, seq, op, verdict AS error FROM verdicts WHERE verdict IN ('insert of an existing key', 'update of a missing key')"
+COUNTED = WITH + """SELECT COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'I') AS inserts, COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'U') AS updates,
+ COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'D') AS deletes, COUNT(*) FILTER (WHERE verdict NOT IN ('applied', 'ignored')) AS errors,
+ COUNT(*) FILTER (WHERE verdict = 'ignored') AS ignored FROM verdicts"""
 SLOT = "time_bucket(INTERVAL '5 minutes', commit_ts)"
 LAG = "CAST((3000000 - epoch_us(commit_ts) % 3000000) AS DECIMAL(20,0)) / 1000000"
 HISTORY = f"SELECT {SLOT} AS slot_start, {SLOT} + INTERVAL '5' MINUTE AS slot_end, op, COUNT(*) AS changes, MAX(seq) AS last_seq FROM changes GROUP BY 1, 2, 3"
@@ -332,12 +336,14 @@ def sql() -> dict[str, str]:
  WHERE captured_at >= TIMESTAMP '2001-03-01 00:00:00' AND captured_at < TIMESTAMP '2001-04-01 00:00:00' GROUP BY 1""",
         "apply_changes": STATE,
         "replicate_stream": STATE,
-        "apply_conflicts": WITH + "SELECT k, seq, op, verdict AS error FROM verdicts WHERE verdict IN ('insert of an existing key', 'update of a missing key')",
+        "replica_out_of_order": STATE,
+        "replica_reload": f"SELECT k, amount FROM ({STATE})",
+        "replica_errors": CONFLICTS,
+        "replica_stats": COUNTED.replace(" FROM verdicts", ", CAST(0 AS BIGINT) AS stale FROM verdicts"),
+        "apply_conflicts": CONFLICTS,
         "load_conflicts_ignored": WITH + f"SELECT op, v AS verdict, COUNT(*) AS changes FROM (SELECT op, CASE WHEN seq <= {q.AS_OF_SEQ} AND verdict <> 'applied' THEN 'ignored' ELSE verdict END AS v FROM verdicts) GROUP BY op, v",
         "as_of_state": WITH + state_sql(f"seq <= {q.AS_OF_SEQ}"),
-        "table_stats": WITH + """SELECT COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'I') AS inserts, COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'U') AS updates,
- COUNT(*) FILTER (WHERE verdict = 'applied' AND op = 'D') AS deletes, COUNT(*) FILTER (WHERE verdict NOT IN ('applied', 'ignored')) AS errors,
- COUNT(*) FILTER (WHERE verdict = 'ignored') AS ignored FROM verdicts""",
+        "table_stats": COUNTED,
         "replication_report": WITH + f"""SELECT 'accounts' AS table_name, (SELECT COUNT(*) FROM accounts) AS full_load_rows,
   COUNT(*) FILTER (WHERE op = 'I') AS inserts, COUNT(*) FILTER (WHERE op = 'U') AS updates, COUNT(*) FILTER (WHERE op = 'D') AS deletes,
   CAST(0 AS BIGINT) AS mismatched_rows, 'validated' AS validation_state FROM verdicts WHERE verdict = 'applied'

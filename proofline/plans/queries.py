@@ -749,6 +749,65 @@ def replicate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replica.state()
 
 
+def new_replica(spark: SparkSession, sf_dir: str, error_limit: int = 0) -> Replica:
+    rows = T.StructType([T.StructField("k", T.LongType()), T.StructField("amount", T.DecimalType(19, 4))])
+    replica = Replica(spark, scratch(spark, "replica"), "accounts", rows, ["k"], error_limit)
+    replica.load(pay.accounts(spark, sf_dir), seq=-1)
+    return replica
+
+
+DISORDERED: dict[tuple[str, str], Replica] = {}  # one a session and folder: three queries read the same written tables
+
+
+def disordered_replica(spark: SparkSession, sf_dir: str) -> Replica:
+    """The log in three batches out of order, with a suspension, two resumes, a compaction and a replay.
+
+    Positions up to AS_OF_SEQ come with the first two batches, later ones with all three.
+    """
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name in DISORDERED:
+        return DISORDERED[name]
+    replica = new_replica(spark, sf_dir, error_limit=1)
+    early = F.when(F.col("seq") <= AS_OF_SEQ, 2).otherwise(3)
+    log = pay.changes(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("seq"), early))
+    for i in (0, 1):
+        replica.apply_batch(log.where(F.col("part") == i), i)
+    replica.resume()
+    replica.resume()
+    replica.compact(AS_OF_SEQ)
+    for i in (1, 2):  # the second once more, as after a crash before its checkpoint
+        replica.apply_batch(log.where(F.col("part") == i), i)
+    DISORDERED[name] = replica
+    return replica
+
+
+@query
+def replica_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disordered_replica(spark, sf_dir).state()
+
+
+@query
+def replica_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conflicts of the disordered log, as log order decides them."""
+    return disordered_replica(spark, sf_dir).errors()
+
+
+@query
+def replica_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches' lines add up to what one batch would have counted."""
+    names = ("inserts", "updates", "deletes", "errors", "ignored", "stale")
+    return disordered_replica(spark, sf_dir).stats().agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+
+
+@query
+def replica_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second full load in the middle of the log; the changes behind its position stay on top."""
+    replica = new_replica(spark, sf_dir)
+    replica.apply_batch(pay.changes(spark, sf_dir), 0)
+    replica.load(apply.as_of(pay.accounts(spark, sf_dir), pay.changes(spark, sf_dir), ["k"], ["amount"], AS_OF_SEQ), AS_OF_SEQ)
+    return replica.state().select("k", "amount")  # loaded rows carry the position of the load
+
+
 @query
 def change_history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slots closed by the watermark, appended by the stream."""

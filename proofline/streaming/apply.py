@@ -91,16 +91,6 @@ def net_changes(judged: DataFrame, keys: list[str]) -> DataFrame:
     return judged.where(F.col("verdict") == APPLIED).groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
-def overlay(base: DataFrame, net: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Rows after few net changes: the base streams past them and is not shuffled.
-
-    ``net`` is read twice, so it should be stored.
-    """
-    kept = base.select(*keys, *columns, "seq").join(net.select(*keys), keys, "left_anti")
-    images = net.where(F.col("op") != DELETE).select(*keys, *columns, "seq")
-    return kept.unionByName(images)
-
-
 def merge(base: DataFrame, net: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Rows after any number of net changes, computing ``net`` once.
 

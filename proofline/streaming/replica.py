@@ -1,10 +1,11 @@
 """A table that follows a change log: full load first, then micro-batches.
 
-A batch never rewrites the table. It appends its net effect per key to a journal
-folder named after the batch, and readers lay the journal over the base by position.
-``compact`` folds the journal into a new base when it has grown. A replayed batch
-overwrites exactly its own folders, and only the statistics line written last makes
-a batch visible, so a restart neither loses nor repeats anything.
+A batch never rewrites the table. It appends its changes to a folder named after the
+batch, and readers judge all changes kept since the base was written, in log order:
+whatever order they arrived in, the state is the one a single batch would give.
+``compact`` folds what is final into a new base. A replayed batch overwrites exactly its
+own folders, and only the statistics line written last makes a batch visible, so a
+restart neither loses nor repeats anything.
 """
 
 from __future__ import annotations
@@ -17,13 +18,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from proofline.functions.predicates import instant
-from proofline.sources.changelog import DELETE
 from proofline.sources.tables import LoadError, VersionedTable, path_exists
-from proofline.streaming.apply import is_error, judge, net_changes, overlay, table_stats
+from proofline.streaming.apply import Applied, apply_changes, judge, table_stats
 from proofline.streaming.history import lag_seconds
 
-LOADED = "L"  # a base row that came from the snapshot
-
 STATS = T.StructType(
     [
         T.StructField("kind", T.StringType()),  # batch, backlog or resume
@@ -48,6 +46,7 @@ class Replica:
         self.columns = [f.name for f in rows.fields if f.name not in keys]
         self.error_limit, self.load_end = error_limit, load_end
         self.base = VersionedTable(spark, f"{self.path}/base")
+        self.closed = VersionedTable(spark, f"{self.path}/closed")  # errors of changes that are folded in
         key_fields = [rows[k] for k in keys]
         value_fields = [rows[c] for c in self.columns]
         tail = [
@@ -55,20 +54,23 @@ class Replica:
             T.StructField("commit_ts", T.TimestampType()),
             T.StructField("op", T.StringType()),
         ]
-        self._journal = T.StructType([*key_fields, *value_fields, *tail, T.StructField("batch", T.LongType())])
         self._changes = T.StructType([*key_fields, *value_fields, *tail])
-        self._errors = T.StructType([*key_fields, *tail, T.StructField("error", T.StringType()), T.StructField("batch", T.LongType())])
+        self._held_rows = T.StructType([*self._changes.fields, T.StructField("batch", T.LongType())])
+        self._stored = T.StructType([*self._changes.fields, T.StructField("late", T.BooleanType()), T.StructField("batch", T.LongType())])
 
     # -- full load ---------------------------------------------------------
 
     def load(self, snapshot: DataFrame, seq: int) -> None:
-        """Take a snapshot that holds every change up to position ``seq``; what was applied before is behind it."""
-        newest = self.stats().agg(F.max("batch")).first()[0]
-        rows = snapshot.select(
-            *self.keys, *self.columns, F.lit(seq).cast("long").alias("seq"),
-            F.lit(None).cast("timestamp").alias("commit_ts"), F.lit(LOADED).alias("op"),
-        )
-        self.base.replace(rows, seq=seq, tag=str(-1 if newest is None else newest))
+        """Take a snapshot that holds every change up to position ``seq``; later changes stay on top of it."""
+        rows = snapshot.select(*self.keys, *self.columns, F.lit(seq).cast("long").alias("seq"))
+        if self.base.live():
+            self._close(self._applied(), seq)
+        self.base.replace(rows, seq=seq, tag=str(seq))
+
+    def _close(self, applied: Applied, seq: int) -> None:
+        """Keep the errors up to ``seq``, whose changes the next base folds in; they count once that base is there."""
+        errors = self._closed_errors().unionByName(self._shown(applied)).where(F.col("seq") <= seq)
+        self.closed.replace(errors, seq=seq, tag=str(self._base().version + 1))
 
     # -- reading -----------------------------------------------------------
 
@@ -83,7 +85,23 @@ class Replica:
         return self._read("stats", STATS)
 
     def errors(self) -> DataFrame:
-        return self._visible(self._read("errors", self._errors))
+        """Every conflict, as log order decides it."""
+        return self._closed_errors().unionByName(self._shown(self._applied()))
+
+    def _shown(self, applied: Applied) -> DataFrame:
+        return applied.errors.select(*self.keys, "seq", "op", "error")
+
+    def _closed_errors(self) -> DataFrame:
+        version = self._base().version
+        known = [c for c in self.closed.commits() if int(c.tag) <= version]
+        if known:
+            return self.closed.read(known[-1].version)
+        fields = [*[self.rows[k] for k in self.keys], T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()), T.StructField("error", T.StringType())]
+        return self.spark.createDataFrame([], T.StructType(fields))
+
+    def late(self) -> DataFrame:
+        """Changes that came behind the position declared final: whole, and not applied."""
+        return self._visible(self._read("changes", self._stored).where("late")).drop("late")
 
     def _visible(self, df: DataFrame, before: int | None = None) -> DataFrame:
         done = self.stats().select("batch")
@@ -97,17 +115,20 @@ class Replica:
             raise LoadError(f"{self.table}: load a snapshot before applying changes")
         return live[-1]
 
-    def _net(self, before: int | None = None) -> DataFrame:
-        """Last journal entry per key since the base was written, tombstones included."""
-        through = int(self._base().tag or -1)
-        journal = self._visible(self._read("journal", self._journal).where(F.col("batch") > through), before)
-        image = F.struct(*self.columns, "commit_ts", "op", "seq")
-        return journal.groupBy(*self.keys).agg(F.max_by(image, "seq").alias("_last")).select(*self.keys, "_last.*")
+    def _kept(self, before: int | None = None) -> DataFrame:
+        """Changes behind the base, each position once however often it was delivered."""
+        open_ = self._visible(self._read("changes", self._stored).where(F.col("seq") > self._base().seq), before)
+        return open_.drop("late", "batch").dropDuplicates([*self.keys, "seq"])
+
+    def _applied(self, before: int | None = None, through: int | None = None) -> Applied:
+        kept = self._kept(before)
+        if through is not None:
+            kept = kept.where(F.col("seq") <= through)
+        return apply_changes(self.base.read(), kept, self.keys, self.columns, self.load_end)
 
     def state(self, before: int | None = None) -> DataFrame:
         """The table as of the last visible batch, with the position of each row."""
-        living = self.base.read().where(F.col("op") != DELETE)
-        return overlay(living, self._net(before), self.keys, self.columns)
+        return self._applied(before).state
 
     def suspended(self, before: int | None = None) -> bool:
         """More errors than the limit since the last resume; a limit of 0 never suspends."""
@@ -149,67 +170,61 @@ class Replica:
         self._finish(held.agg(F.count(F.lit(1)).alias("held"), F.max("seq").alias("last_seq")), "backlog", batch)
 
     def _apply(self, changes: DataFrame, batch: int, kind: str) -> None:
-        snapshot_seq = self._base().seq
+        """Store the batch and count what it changes: an older change may turn verdicts on newer ones of its key."""
+        base = self._base()
         now = instant(datetime.now(timezone.utc))
-        after_load = changes.where(F.col("seq") > snapshot_seq)
-        current = self.state(batch)
-        # the last position per touched key, tombstones included: older changes are stale
-        net = self._net(batch).select(*self.keys, F.col("seq").alias("_last"))
-        base = self.base.read().select(*self.keys, F.col("seq").alias("_last"))
-        touched = after_load.select(*self.keys).distinct()
-        last = (
-            base.join(touched, self.keys, "left_semi")
-            .unionByName(net.join(touched, self.keys, "left_semi"))
-            .groupBy(*self.keys)
-            .agg(F.max("_last").alias("_last"))
-        )
-        placed = after_load.join(last, self.keys, "left").withColumn(
-            "_stale", F.coalesce(F.col("seq") <= F.col("_last"), F.lit(False))
+        loaded = F.coalesce(F.col("seq") <= int(base.tag), F.lit(False))
+        late = ~F.coalesce(F.col("seq") > base.seq, F.lit(False))
+        self._write(changes.where(~loaded).withColumn("late", late), "changes", batch)
+        mine = self.spark.read.schema(T.StructType(self._stored.fields[:-1])).parquet(f"{self.path}/changes/batch={batch}")
+        new = mine.where("not late").drop("late")
+
+        touched = new.select(*self.keys).distinct()
+        before = self._kept(batch).join(touched, self.keys, "left_semi")
+        after = before.unionByName(new).dropDuplicates([*self.keys, "seq"])
+        rows = self.base.read()
+        verdicts = lambda log, weight: judge(log, rows, self.keys, self.load_end).select("op", "verdict", F.lit(weight).alias("weight"))
+        counted = table_stats(verdicts(after, 1).unionByName(verdicts(before, -1)), ["weight"])
+        names = [c for c in counted.columns if c != "weight"]
+        line = counted.agg(*[F.coalesce(F.sum(F.col(c) * F.col("weight")), F.lit(0)).alias(c) for c in names])
+        seen = mine.agg(
+            F.max(F.when(~F.col("late"), F.col("seq"))).alias("last_seq"), F.count_if("late").alias("late"),
+            F.max(F.when(~F.col("late"), lag_seconds(now, F.col("commit_ts")))).alias("max_lag"),
+        ).first()
+        line = line.withColumns(
+            {"stale": F.lit(seen.late), "last_seq": F.lit(seen.last_seq).cast("long"), "max_lag": F.lit(seen.max_lag).cast("decimal(18,6)")}
         )
-        placed.persist()
-        judged = judge(placed.where(~F.col("_stale")).drop("_stale", "_last"), current, self.keys, self.load_end).persist()
-        try:
-            self._write(net_changes(judged, self.keys).select(*[f.name for f in self._changes.fields]), "journal", batch)
-            self._write(
-                judged.where(is_error()).select(*self.keys, "seq", "commit_ts", "op", F.col("verdict").alias("error")), "errors", batch
-            )
-            stale = placed.agg(F.count_if("_stale")).first()[0]
-            lag = judged.agg(F.max("seq").alias("last_seq"), F.max(lag_seconds(now, F.col("commit_ts"))).alias("max_lag")).first()
-            line = table_stats(judged).withColumns(
-                {"stale": F.lit(stale), "last_seq": F.lit(lag.last_seq).cast("long"), "max_lag": F.lit(lag.max_lag).cast("decimal(18,6)")}
-            )
-            self._finish(line, kind, batch)
-        finally:
-            judged.unpersist()
-            placed.unpersist()
+        self._finish(line, kind, batch)
+
+    def _held(self) -> DataFrame:
+        done = self.stats().agg(F.coalesce(F.max(F.when(F.col("kind") == "resume", F.col("batch"))), F.lit(-1))).first()[0]
+        return self._visible(self._read("backlog", self._held_rows)).where(F.col("batch") > done)
 
     def resume(self) -> None:
-        """Apply what was held while the table was suspended, then go on."""
-        lines = self.stats()
-        newest = lines.agg(F.max("batch")).first()[0]
-        if newest is None:
-            return
-        done = lines.agg(F.coalesce(F.max(F.when(F.col("kind") == "resume", F.col("batch"))), F.lit(-1))).first()[0]
-        backlog_schema = T.StructType([*self._changes.fields, T.StructField("batch", T.LongType())])
-        held = self._visible(self._read("backlog", backlog_schema)).where(F.col("batch") > done)
-        if held.isEmpty():
-            # the newest batch may be an earlier resume, whose journal must stay
+        """Apply what was held while the table was suspended, then go on; nothing to do on a running table."""
+        held = self._held()
+        if not self.suspended() and held.isEmpty():
+            # the newest batch may be an earlier resume, whose changes must stay
             return
+        newest = self.stats().agg(F.max("batch")).first()[0]
         self._apply(held.drop("batch"), (newest // 2) * 2 + 1, "resume")
 
-    def compact(self) -> None:
-        """Fold the journal into a new base; its batches are not read again.
+    def compact(self, final: int | None = None) -> None:
+        """Fold the changes up to position ``final`` into a new base; they are not judged again.
 
-        Deleted keys stay in the base as tombstones: a late, older change of such a key
-        must still be recognised as stale.
+        The caller declares that no change at or below ``final`` is still to come; by default that is
+        the newest position applied. One that comes nevertheless is shown by ``late`` and counted as
+        stale. Changes that a suspended table holds are never closed off.
         """
-        newest = self.stats().agg(F.max("batch").alias("batch")).first()
-        if newest.batch is None:
+        newest = self.stats().agg(F.max(F.when(F.col("kind") != "backlog", F.col("last_seq")))).first()[0]
+        held = self._held().agg(F.min("seq")).first()[0]
+        known = [p for p in (newest if final is None else final, None if held is None else held - 1) if p is not None]
+        base = self._base()
+        if not known or min(known) <= base.seq:
             return
-        net = self._net()
-        names = [f.name for f in self._changes.fields]
-        rows = self.base.read().join(net.select(*self.keys), self.keys, "left_anti").select(*names).unionByName(net.select(*names))
-        self.base.replace(rows, seq=self._base().seq, tag=str(newest.batch))
+        applied = self._applied(through=min(known))
+        self._close(applied, min(known))
+        self.base.replace(applied.state.select(*self.keys, *self.columns, "seq"), seq=min(known), tag=base.tag)
 
     def follow(self, changes: DataFrame, checkpoint: str, once: bool = True, poll: str = "3 seconds") -> StreamingQuery:
         """Start applying a change stream; ``once`` takes what is there and ends."""

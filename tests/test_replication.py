@@ -188,15 +188,66 @@ def test_a_batch_without_statistics_is_invisible(spark, tmp_path, monkeypatch):
     assert s.rows() == {2: "2.0000"}
 
 
-def test_late_older_changes_are_stale_even_after_compaction(spark, tmp_path):
+def test_older_changes_are_judged_in_log_order(spark, tmp_path):
+    """An insert that arrives after a later update of its key: the update was no error after all."""
+    s = Setup(spark, tmp_path)
+    s.replica.apply_batch(log(spark, (20, "U", 7, "20"), (21, "D", 2, None)), 0)
+    assert s.replica.errors().count() == 1
+    s.replica.apply_batch(log(spark, (15, "I", 7, "15"), (16, "U", 2, "16"), (20, "U", 7, "20")), 1)
+    assert s.rows() == {1: "1.0000", 7: "20.0000"} and s.replica.errors().count() == 0
+    assert s.replica.stats().agg(F.sum("inserts"), F.sum("updates"), F.sum("deletes"), F.sum("errors")).first()[:] == (1, 2, 1, 0)
+
+
+def test_changes_behind_the_final_position_are_set_aside(spark, tmp_path):
     s = Setup(spark, tmp_path)
     s.replica.apply_batch(log(spark, (20, "U", 1, "20"), (21, "D", 2, None)), 0)
     s.replica.apply_batch(log(spark, (15, "U", 1, "15"), (16, "U", 2, "16")), 1)
     assert s.rows() == {1: "20.0000"}
     s.replica.compact()
-    s.replica.apply_batch(log(spark, (17, "U", 1, "17"), (18, "I", 2, "18"), (30, "I", 5, "5")), 2)
+    s.replica.apply_batch(log(spark, (9, "D", 1, None), (17, "U", 1, "17"), (18, "I", 2, "18"), (30, "I", 5, "5")), 2)
     assert s.rows() == {1: "20.0000", 5: "5.0000"}
-    assert s.replica.stats().agg(F.sum("stale")).first()[0] == 4 and s.replica.errors().count() == 0
+    assert {(r.k, r.seq, str(r.amount)) for r in s.replica.late().collect()} == {(1, 17, "17.0000"), (2, 18, "18.0000")}
+    assert s.replica.stats().agg(F.sum("stale")).first()[0] == 2 and s.replica.errors().count() == 0
+
+
+def test_resume_without_held_changes_lifts_the_suspension(spark, tmp_path):
+    s = Setup(spark, tmp_path, error_limit=1)
+    s.replica.apply_batch(log(spark, (11, "U", 7, "7"), (12, "U", 8, "8")), 0)
+    s.replica.resume()
+    assert not s.replica.suspended()
+    s.replica.apply_batch(log(spark, (13, "U", 1, "1.3")), 1)
+    assert s.rows() == {1: "1.3000", 2: "2.0000"}
+
+
+def test_reload_keeps_changes_behind_the_snapshot(spark, tmp_path):
+    s = Setup(spark, tmp_path)
+    s.replica.apply_batch(log(spark, (11, "U", 1, "5"), (12, "U", 9, "9"), (60, "I", 3, "3")), 0)
+    s.replica.load(base(spark, k1="8").drop("seq"), 50)
+    assert s.rows() == {1: "8.0000", 3: "3.0000"} and [r.k for r in s.replica.errors().collect()] == [9]
+
+
+def test_shuffled_batches_equal_the_model(spark, tmp_path):
+    """Four shuffled batches with a suspension, resumes, a compaction and a replay."""
+    rnd = random.Random(3)
+    s = Setup(spark, tmp_path, error_limit=2)
+    changes = [(seq, rnd.choice("IUUD"), rnd.randrange(6), Decimal(seq)) for seq in range(11, 131)]
+    parts = [[] for _ in range(4)]
+    for c in changes:
+        parts[rnd.randrange(2 if c[0] <= 60 else 4)].append(c)
+    for i in range(2):
+        s.replica.apply_batch(log(spark, *parts[i]), i)
+    s.replica.resume()
+    s.replica.resume()
+    s.replica.compact(60)
+    for i in range(1, 4):
+        s.replica.apply_batch(log(spark, *parts[i]), i)
+    s.replica.compact()  # whatever is held stays open
+    s.replica.resume()
+    rows, verdicts = model({1: Decimal(1), 2: Decimal(2)}, changes)
+    assert {r.k: r.amount for r in s.replica.state().collect()} == rows
+    wrong = {seq for seq, v in verdicts.items() if v in (apply.INSERT_EXISTS, apply.UPDATE_MISSING)}
+    assert {r.seq for r in s.replica.errors().collect()} == wrong and s.replica.late().count() == 0
+    assert s.replica.stats().agg(F.sum("errors")).first()[0] == len(wrong)
 
 
 def test_suspended_table_holds_its_changes(spark, tmp_path):
