@@ -5,8 +5,11 @@ sqrt(tf) * idf, idf over 32-word stretches of all documents) and a randomised SV
 task a block, gives its latent space. Documents are read as overlapping windows of words. The cosine of
 a window with any passage cannot exceed the share of the window's length that lies in the benchmark's
 terms, which prefix sums give for all windows at once; only windows whose share allows the wanted
-cosine are projected and compared. A candidate is a leak if the longest common subsequence of words
-covers enough of the passage and the passage's rarest words, its answer, stand in the window too.
+cosine are projected and compared. What else stands in a window lowers its cosine, the more the larger
+the corpus, so there is a second source of candidates that foreign words cannot change: each place of
+one of a passage's rarest words, as long as enough of the others stand around it. A candidate is a leak
+if the longest common subsequence of words covers enough of the passage and the passage's rarest words,
+its answer, stand in the window too.
 """
 
 from __future__ import annotations
@@ -26,6 +29,10 @@ WIDTHS = (24, 32, 48, 64)
 STRIDE = 8
 STRETCH = 32
 SPARE = 8
+ANSWER_WORDS = 3
+#: shorter passages stand in texts by chance; they are candidates by their cosine only
+ANCHORED_WORDS = 8
+ANCHOR_ROWS = 1 << 19
 
 
 def _passages(items: DataFrame) -> DataFrame:
@@ -134,6 +141,61 @@ def check(passage: np.ndarray, region: np.ndarray, rare: set, order: float, answ
     return share >= order and kept >= answer, share
 
 
+def rarest(passage: np.ndarray, terms: np.ndarray, weight: np.ndarray) -> list[int]:
+    """The distinct ones of the passage's ANSWER_WORDS rarest words, rarest first."""
+    t = np.searchsorted(terms, passage)
+    return list(dict.fromkeys(passage[np.lexsort((passage, -weight[t]))][:ANSWER_WORDS].tolist()))
+
+
+def anchors(spaces: list[dict], terms: np.ndarray, weight: np.ndarray, answer: float) -> dict:
+    """The places in passages by which they are looked up, ordered by term, and what a region must hold.
+
+    A region needs `need` of a passage's rarest words, so it holds at least one of the first
+    len(rarest) - need + 1 of them; only these are looked up.
+    """
+    passages = [(number, j, w) for number, space in enumerate(spaces) for j, w in enumerate(space["words"])]
+    rare, need, found = np.full((len(passages), ANSWER_WORDS), -1, np.int64), np.ones(len(passages), np.int64), []
+    for p, (_, _, words) in enumerate(passages):
+        own = rarest(words, terms, weight)
+        rare[p, : len(own)] = np.searchsorted(terms, np.array(own, np.uint64))
+        need[p] = next(k for k in range(1, len(own) + 1) if k == len(own) or k / len(own) >= answer)
+        if len(words) >= ANCHORED_WORDS:
+            found += [(rare[p, i], p, q) for i in range(len(own) - need[p] + 1) for q in np.flatnonzero(words == np.uint64(own[i]))]
+    rows = np.array(sorted(found), np.int64).reshape(-1, 3)
+    size = np.array([len(w) for _, _, w in passages], np.int64)
+    first = np.searchsorted(rows[:, 0], np.arange(len(terms) + 1))
+    return {"passages": passages, "rare": rare, "need": need, "size": size, "first": first, "passage": rows[:, 1], "place": rows[:, 2]}
+
+
+def anchored(offsets: np.ndarray, at: np.ndarray, hit: np.ndarray, table: dict, order: float):
+    """(document, passage, start, low, high): places where a passage may start and the region to look at.
+
+    The region reaches half a passage beyond the place on both sides. It is left out only if it holds
+    too few of the benchmark's words for the order or too few of the rarest words for the answer.
+    """
+    n, known = len(at) + 1, np.concatenate([[0], np.cumsum(hit)])
+    answers = np.zeros(len(table["first"]) - 1, bool)
+    answers[table["rare"][table["rare"] >= 0]] = True
+    spots = np.flatnonzero(hit & answers[at])
+    keys = np.sort(at[spots] * n + spots)
+    spots = spots[table["first"][at[spots] + 1] > table["first"][at[spots]]]
+    for part in np.split(spots, np.flatnonzero(np.diff(np.cumsum(table["first"][at[spots] + 1] - table["first"][at[spots]]) // ANCHOR_ROWS)) + 1):
+        begin, times = table["first"][at[part]], table["first"][at[part] + 1] - table["first"][at[part]]
+        row = np.repeat(begin - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum()) if len(part) else begin
+        x, passage = np.repeat(part, times), table["passage"][row]
+        size = table["size"][passage]
+        doc, start = np.searchsorted(offsets, x, "right") - 1, x - table["place"][row]
+        low, high = np.maximum(offsets[doc], start - size // 2), np.minimum(offsets[doc + 1], start + size + size // 2)
+        ok = np.flatnonzero(known[high] - known[low] >= order * size - 1e-9)
+        doc, passage, start, low, high = (c[ok] for c in (doc, passage, start, low, high))
+        held = np.zeros(len(ok), np.int64)
+        for term in table["rare"][passage].T:
+            near = np.append(keys, np.iinfo(np.int64).max)[np.searchsorted(keys, term * n + low)]
+            held += (term >= 0) & (near < term * n + high)
+        ok = held >= table["need"][passage]
+        yield from np.unique(np.stack([doc, passage, start, low, high], 1)[ok], axis=0).tolist()
+
+
 def latent_scores(rows: np.ndarray, own: np.ndarray, values: np.ndarray, n: int, space: dict) -> np.ndarray:
     """Inner products of n sparse windows (row, term, value; sorted by row) with the passages of a space."""
     at = np.minimum(np.searchsorted(space["terms"], own), len(space["terms"]) - 1)
@@ -145,6 +207,12 @@ def latent_scores(rows: np.ndarray, own: np.ndarray, values: np.ndarray, n: int,
     return latent @ space["latent"].T
 
 
+def term_cosine(passage: tuple, window: tuple, square: float) -> float:
+    """Cosine of a passage and a window (terms, weights), the window's squared length given."""
+    _, x, y = np.intersect1d(passage[0], window[0], assume_unique=True, return_indices=True)
+    return float(passage[1][x] @ window[1][y] / max(np.linalg.norm(passage[1]) * np.sqrt(square), 1e-12))
+
+
 def _search(docs: DataFrame, vocabulary, idf, spaces, cosine: float, order: float, answer: float) -> DataFrame:
     def windows(words, offsets, at, hit, squares):
         """Starts, ends and documents of the windows whose share of known terms allows the cosine."""
@@ -163,7 +231,7 @@ def _search(docs: DataFrame, vocabulary, idf, spaces, cosine: float, order: floa
 
     def run(batches):
         terms, weight = vocabulary.value, idf.value
-        unknown, rare = float(weight.max()), {}
+        unknown, rare, table = float(weight.max()), {}, anchors(spaces.value, terms, weight, answer)
         for batch in batches:
             raw, ids = tx.as_bytes(pa.compute.utf8_lower(batch.column("text"))), batch.column("doc_id").to_pylist()
             best: dict = {}
@@ -173,7 +241,19 @@ def _search(docs: DataFrame, vocabulary, idf, spaces, cosine: float, order: floa
                     continue
                 at = np.minimum(np.searchsorted(terms, words), len(terms) - 1)
                 hit = terms[at] == words
-                for starts, ends, doc, norm in windows(words, offsets, at, hit, np.where(hit, weight[at], unknown) ** 2):
+                squares = np.where(hit, weight[at], unknown) ** 2
+                for d, p, start, low, high in anchored(offsets, at, hit, table, order):
+                    number, j, passage = table["passages"][p]
+                    if (number, j) not in rare:
+                        rare[number, j] = set(rarest(passage, terms, weight))
+                    good, share = check(passage, words[low:high], rare[number, j], order, answer)
+                    if good:
+                        a_, z_ = max(int(offsets[d]), start), min(int(offsets[d + 1]), start + len(passage))
+                        score = term_cosine(weights(passage, terms, weight), weights(words[a_:z_], terms, weight), float(squares[a_:z_].sum()))
+                        name = (a + d, spaces.value[number]["items"][j])
+                        old = best.get(name, (0.0, 0.0))
+                        best[name] = (max(score, old[0]), max(share, old[1]))
+                for starts, ends, doc, norm in windows(words, offsets, at, hit, squares):
                     n = ends - starts
                     place = np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                     row = np.repeat(np.arange(len(n)), n)
@@ -186,8 +266,7 @@ def _search(docs: DataFrame, vocabulary, idf, spaces, cosine: float, order: floa
                         for w, j in zip(*np.nonzero(scores >= cosine), strict=True):
                             passage = space["words"][j]
                             if (number, j) not in rare:
-                                t = np.searchsorted(terms, passage)
-                                rare[number, j] = set(passage[np.lexsort((passage, -weight[t]))][:3].tolist())
+                                rare[number, j] = set(rarest(passage, terms, weight))
                             d, spare = doc[w], len(passage) // 2
                             region = words[max(offsets[d], starts[w] - spare) : min(offsets[d + 1], ends[w] + spare)]
                             good, share = check(passage, region, rare[number, j], order, answer)
@@ -205,9 +284,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.5, order
     """(doc_id, item_id, cosine, in_order): each document row with each benchmark item it leaks.
 
     docs (doc_id, text), benchmark (item_id, text). cosine and in_order are the best of the document's
-    windows. A leak needs a window whose latent cosine with a passage of the item is at least `cosine`,
-    a common subsequence of at least `order` of the passage's words, and at least `answer` of its three
-    rarest words. Null and empty texts leak nothing, and items without words are never leaked; a null
+    windows. A leak needs a common subsequence of at least `order` of the words of one of the item's
+    passages and at least `answer` of its three rarest words, in a window whose latent cosine with the
+    passage is at least `cosine` or, from ANCHORED_WORDS words on, within half a passage of the place that
+    one of its rarest words gives it, whatever the cosine. Null and empty texts leak nothing, and items without words are never leaked; a null
     doc_id or item_id is carried along. Repeated document rows are each reported, repeated passages
     once for each item_id. Other columns are ignored. The benchmark goes through in passes of
     BLOCK * PASS_BLOCKS passages, so what is broadcast has a fixed bound.

@@ -245,3 +245,25 @@ def test_subsequences_and_svd():
     a = np.random.default_rng(1).standard_normal((20, 50))
     right = decontaminate.randomised_svd(a, 20)
     assert np.allclose(a @ right @ right.T, a)
+
+
+def test_leaks_among_foreign_words(spark, monkeypatch):
+    """Short and edited passages at every offset of the stride, as in a corpus a thousand times as large."""
+    text.ship(spark)
+    r = np.random.default_rng(3)
+    items = [(n, [f"c{k}" for k in r.integers(0, 40, 15 + n % 9)]) for n in range(24)]
+    for n, w in items:
+        w[3], w[9] = f"rare{n}", f"odd{n}"
+    foreign = iter(f"foreign{k}" for k in range(10**6))
+    made = []
+    for n, w in items:
+        for offset in range(24):
+            edited = list(w)
+            for k in (1, 6)[: len(w) // 8] if offset % 2 else ():
+                edited[k] = next(foreign)
+            made.append((n * 100 + offset, " ".join([next(foreign) for _ in range(offset)] + edited + [next(foreign) for _ in range(60)])))
+    clean = [(10_000 + k, " ".join([f"c{x}" for x in r.integers(0, 40, 200)] + [f"rare{k % 24}", "c1", f"odd{k % 23}"])) for k in range(40)]
+    counted = decontaminate._frequencies
+    monkeypatch.setattr(decontaminate, "_frequencies", lambda docs, v: (lambda n, m: (np.where(n > 100, n * 1000, n), m * 1000))(*counted(docs, v)))
+    got = decontaminate.find_leaks(spark.createDataFrame(made + clean, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == {(d, d // 100) for d, _ in made}
