@@ -36,7 +36,10 @@ ANCHOR_ROWS = 1 << 19
 
 
 def _passages(items: DataFrame) -> DataFrame:
-    """(item_id, part, words): hashes of at most PASSAGE_WORDS lower-cased words, each part once."""
+    """(item_id, part, words): hashes of at most PASSAGE_WORDS lower-cased words, each part once.
+
+    Of a longer item every part has PASSAGE_WORDS words; the last part is its last words.
+    """
 
     def run(batches):
         for batch in batches:
@@ -46,7 +49,8 @@ def _passages(items: DataFrame) -> DataFrame:
                 words, offsets, _, _ = tx.word_hashes(raw[a:z])
                 for i in range(z - a):
                     own = tx.signed(words[offsets[i] : offsets[i + 1]])
-                    cuts = range(0, max(1, len(own)), PASSAGE_WORDS)
+                    last = max(0, len(own) - PASSAGE_WORDS)
+                    cuts = [*range(0, last, PASSAGE_WORDS), last]
                     out += [(ids[a + i], n, own[c : c + PASSAGE_WORDS].tolist()) for n, c in enumerate(cuts) if len(own)]
             kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, kinds, strict=True)], ["item_id", "part", "words"])
@@ -215,13 +219,19 @@ def term_cosine(passage: tuple, window: tuple, square: float) -> float:
 
 def _search(docs: DataFrame, vocabulary, idf, spaces, cosine: float, order: float, answer: float) -> DataFrame:
     def windows(words, offsets, at, hit, squares):
-        """Starts, ends and documents of the windows whose share of known terms allows the cosine."""
+        """Starts, ends and documents of the windows whose share of known terms allows the cosine.
+
+        The last window of a text ends with it; only a whole text can be shorter than the width.
+        """
         energy = np.concatenate([[0], np.cumsum(squares)])
         known = np.concatenate([[0], np.cumsum(np.where(hit, squares, 0))])
         within = np.arange(len(words)) - np.repeat(offsets[:-1], np.diff(offsets))
-        starts = np.flatnonzero(within % STRIDE == 0)
-        doc = np.searchsorted(offsets, starts, "right") - 1
+        every = np.flatnonzero(within % STRIDE == 0)
+        of = np.searchsorted(offsets, every, "right") - 1
         for width in WIDTHS:
+            use = (within[every] == 0) | (every + width < offsets[of + 1] + STRIDE)
+            doc = of[use]
+            starts = np.maximum(offsets[doc], np.minimum(every[use], offsets[doc + 1] - width))
             ends = np.minimum(starts + width, offsets[doc + 1])
             total = energy[ends] - energy[starts]
             open_ = np.flatnonzero(known[ends] - known[starts] >= cosine**2 * total)

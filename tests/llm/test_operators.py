@@ -267,3 +267,15 @@ def test_leaks_among_foreign_words(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "_frequencies", lambda docs, v: (lambda n, m: (np.where(n > 100, n * 1000, n), m * 1000))(*counted(docs, v)))
     got = decontaminate.find_leaks(spark.createDataFrame(made + clean, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string"))
     assert {(x.doc_id, x.item_id) for x in got.collect()} == {(d, d // 100) for d, _ in made}
+
+
+def test_leaks_of_long_items(spark):
+    """The end of a long item is no passage of its own, and the end of a text no window of its own."""
+    text.ship(spark)
+    item = [f"w{k}" for k in range(65)]
+    other = [f"o{k}" for k in range(130)]
+    clean = [(1, "w64"), (2, " ".join(f"a{k}" for k in range(64)) + " w64"), (3, "b w64 c"), (4, " ".join(f"d{k}" for k in range(80)) + " o128 o129"), (5, " ".join(f"e{k}" for k in range(64)) + " single")]
+    leaked = [(10, " ".join(item)), (11, "x y z " + " ".join(item[1:]) + " z" * 50), (12, "x " * 9 + " ".join(other[66:])), (13, " ".join(other[:64]))]
+    items = [(1, " ".join(item)), (2, " ".join(other)), (3, "single")]
+    got = decontaminate.find_leaks(spark.createDataFrame(clean + leaked, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(10, 1), (11, 1), (12, 2), (13, 2)}
