@@ -18,11 +18,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the smallest doc_id stays; rows without a doc_id stay."""
+    """Of every group of linked texts the one with the smallest doc_id stays; rows without a doc_id stay.
+
+    Rows that share a doc_id are judged by their own texts, so none goes for what another one holds. Of
+    rows with the same doc_id and text the one with the smallest other columns stays.
+    """
     ship(spark)
-    found = jaccard_join.jaccard_components(docs)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id is null"))
+    keyed = docs.where("doc_id is not null").withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = jaccard_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    owner = keyed.select("_key", "doc_id").join(found.select(F.col("doc_id").alias("_key"), "component_id").distinct(), "_key")
+    kept = owner.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key")
+    one = keyed.join(kept, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return one.select(*(F.col(f"row.{c}").alias(c) for c in docs.columns)).union(docs.where("doc_id is null"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -314,7 +314,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: in
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = tx.materialized(_prefixes(docs, shingle, num, den), "prefixes")
     named = base.where("doc_id is not null and size > 0")
-    nodes = tx.materialized(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("top")), "nodes")
+    nodes = tx.materialized(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "nodes")
     rows = named.select("size", "k1", "k2", F.posexplode("prefix").alias("pos", "s"))
     shared = tx.materialized(_shared(rows, num, den).join(nodes.select("k1", "k2", "node"), ["k1", "k2"]), "regions")
     shared = shared.join(_distinct_regions(shared), "s")
@@ -338,9 +338,13 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: in
     open_cells = _distinct_regions(labelled, F.min("component").alias("low"), F.max("component").alias("high"))
     left = _bucketed(labelled.join(open_cells, "s"), num, den).select("s", "k1", "k2", "node", "component", "bucket")
     more = _regions(left.join(sets.select("k1", "k2", "items"), ["k1", "k2"]).select("s", "bucket", "node", "component", "items"), num, den)
-    more = tx.materialized(more.union(links).union(nodes.where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b"))), "links")
+    # a doc_id with several sets joins the copies of each of them
+    ends = base.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("low"), F.max(F.struct("k1", "k2")).alias("high"))
+    several = named.join(ends.where("low <> high").select("doc_id"), "doc_id").select("doc_id", "k1", "k2").distinct()
+    bridges = several.join(nodes, ["k1", "k2"]).where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    more = tx.materialized(more.union(links).union(bridges), "links")
     final = tx.materialized(components(more), "components")
 
-    own = base.join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left").join(final, "node", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("size") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
+    own = base.join(nodes, ["k1", "k2"], "left").withColumn("node", F.coalesce("node", "doc_id")).join(final, "node", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
     return own.select("doc_id", F.col("size").alias("n_shingles"), component.cast("long").alias("component_id"))

@@ -279,3 +279,13 @@ def test_leaks_of_long_items(spark):
     items = [(1, " ".join(item)), (2, " ".join(other)), (3, "single")]
     got = decontaminate.find_leaks(spark.createDataFrame(clean + leaked, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(10, 1), (11, 1), (12, 2), (13, 2)}
+
+
+def test_doc_id_with_several_texts(spark):
+    """A doc_id in the middle of two groups of copies makes them one component, also with an empty text."""
+    text.ship(spark)
+    one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(1, one), (5, one), (9, one), (2, two), (5, two), (8, two), (20, three), (21, three), (21, ""), (30, "")]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    low = {20: 20, 21: 20, 30: 30}
+    assert sorted(map(tuple, got)) == sorted((d, 26 if t else 0, low.get(d, 1)) for d, t in rows)

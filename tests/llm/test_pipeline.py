@@ -27,3 +27,10 @@ def test_stages(spark, sf):
 
 def test_registered():
     assert {"pipeline", *(f"op{n}_" for n in range(1, 11))} <= {n if n == "pipeline" else n[: n.find("_") + 1] for n in entry.queries()}
+
+
+def test_near_duplicates_keep_every_text(spark, sf):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(1, one, "x"), (5, one, "x"), (5, two, "x"), (8, two, "x"), (9, three, "z"), (9, three, "y"), (9, two, "x"), (None, one, "x"), (30, "", "x")]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), sf)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, one, "x"), (5, two, "x"), (9, three, "y"), (None, one, "x"), (30, "", "x")], key=str)
