@@ -14,6 +14,10 @@ sets within reach are one component and need no comparison among themselves. Reg
 are still in several components join again: each set in turn is a pivot, its distances are computed
 only to sets that the size window and the triangle inequality over earlier pivots leave open, and no
 pair is written that is not a link.
+
+No task takes a large region whole. Its members stay without a look at their profiles. If they are
+still in several components after the pass, they all meet the region's own pivot, salted; then blocks of
+members meet in pairs, except blocks of the region's largest component among themselves.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from proofline.llm.components import components
 SKETCH = 1 << 18
 STAR_ROWS = 32
 REGION_ROWS = 2000
+BLOCK_ROWS = 256
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
@@ -97,16 +102,17 @@ def has_partner(sizes: np.ndarray, profiles: list[np.ndarray], num: int, den: in
     good, last = np.zeros(len(sizes), bool), np.searchsorted(sizes, sizes * den // num, "right")
     lengths = np.array([len(p) for p in profiles])
     tables: dict[int, np.ndarray] = {}
+    filled: dict[int, int] = {}
     for i in range(len(sizes)):
-        if last[i] <= i + 1:
+        if last[i] <= i + 1 or good[i : last[i]].all():
             continue
         span = int(lengths[i : last[i]].min())
         if span not in tables:
-            tables[span] = np.full((len(sizes), span), -1, np.int32)
+            tables[span], filled[span] = np.zeros((len(sizes), span), np.int32), 0
         table = tables[span]
-        for j in range(i, last[i]):
-            if table[j, 0] < 0:
-                table[j] = folded(profiles[j], span)
+        for j in range(max(i, filled[span]), last[i]):
+            table[j] = folded(profiles[j], span)
+        filled[span] = max(filled[span], last[i])
         # near sizes first: most sets with a partner are done by them
         for a, z in ((i + 1, min(i + 9, last[i])), (i + 9, last[i])):
             if a < z and not (good[i] and good[a:z].all()):
@@ -178,14 +184,18 @@ def _shared(regions: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(s, k1, k2): members of regions that have a partner there which their profiles do not rule out."""
+    """(s, k1, k2): members of regions that have a partner there which their profiles do not rule out.
+
+    Members of regions of more than REGION_ROWS (count n) all stay: comparing them would take one task.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("size")
         profiles = [np.frombuffer(x, np.uint8) for x in table.column("profile").to_pylist()]
         return table.select(["s", "k1", "k2"]).filter(pa.array(has_partner(table.column("size").to_numpy(), profiles, num, den)))
 
-    return rows.groupBy("s", "bucket").applyInArrow(run, "s long, k1 long, k2 long").distinct()
+    small = rows.where(F.col("n") <= REGION_ROWS).groupBy("s").applyInArrow(run, "s long, k1 long, k2 long")
+    return small.union(rows.where(F.col("n") > REGION_ROWS).select("s", "k1", "k2")).distinct()
 
 
 def _bucketed(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -195,6 +205,26 @@ def _bucketed(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.withColumn("bucket", F.explode(parts))
 
 
+def _blocked(rows: DataFrame) -> DataFrame:
+    """Members (s, bucket, n, component) of large regions in pairs (lo, hi) of blocks, others in one.
+
+    The region's largest component has blocks of its own, which meet the other blocks only; every pair
+    of members of different components is in one pair of blocks.
+    """
+    held = rows.where(F.col("n") > REGION_ROWS).groupBy("s", "bucket", "component").agg(F.count("*").alias("m"))
+    main = held.groupBy("s", "bucket").agg(F.max(F.struct("m", "component")).alias("main"), F.sum("m").alias("all"))
+    rows = rows.join(main, ["s", "bucket"], "left")
+    rest = F.ceil((F.col("all") - F.col("main.m")) / BLOCK_ROWS).cast("int")
+    most = F.ceil(F.col("main.m") / BLOCK_ROWS).cast("int")
+    rows = rows.withColumns({"rest": rest, "most": most, "of_main": F.col("component") == F.col("main.component"), "salt": F.xxhash64("k1", "k2")})
+    block = F.when(F.col("of_main"), F.col("rest") + F.pmod("salt", "most")).otherwise(F.pmod("salt", "rest")).cast("int")
+    last = F.when(F.col("of_main"), F.col("rest") - 1).otherwise(F.col("rest") + F.col("most") - 1)
+    # one component in all of the bucket has nothing to join
+    others = F.when(F.col("all").isNull(), F.array(F.lit(0))).when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("block", F.coalesce(block, F.lit(0))).withColumn("other", F.explode(others))
+    return rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+
+
 def _distinct_regions(rows: DataFrame, *more) -> DataFrame:
     """(s, n) of one region for each different list of members."""
     cells = rows.groupBy("s").agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(k1, k2))").alias("f1"), F.expr("bit_xor(xxhash64(k2, k1, 1))").alias("f2"), *more)
@@ -252,30 +282,27 @@ def _stars(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.repartition(parts, "s", "salt").sortWithinPartitions("s", "salt", "kind").mapInArrow(run, "a long, b long")
 
 
-def join_region(nodes: list[int], groups: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+def join_region(nodes: list[int], groups: list[int], sets: list[np.ndarray], num: int, den: int, blocks: list[int] | None = None) -> list[tuple[int, int]]:
     """Links between members of different groups that connect all that can be connected.
 
     Members go by size. Every member is a pivot once; its distances reach only later members of another
     group inside the size window whose distances to all earlier pivots differ by no more than allowed.
+    With blocks, members meet those of the other block only, if there are two.
     """
     order = sorted(range(len(nodes)), key=lambda i: (len(sets[i]), nodes[i]))
     sizes = np.array([len(sets[i]) for i in order], np.int64)
-    parent = {g: g for g in groups}
-
-    def root(g):
-        while parent[g] != g:
-            parent[g] = g = parent[parent[g]]
-        return g
-
+    label = np.array([groups[i] for i in order], np.int64)
+    side = np.array([blocks[i] for i in order]) if blocks and len(set(blocks)) > 1 else None
     reach = 1 - num / den + 1e-9
     known: list[np.ndarray] = []
     found = []
     for at, i in enumerate(order):
         last = int(np.searchsorted(sizes, sizes[at] * den // num, "right"))
         later = np.arange(at + 1, last)
-        mine = root(groups[i])
-        later = later[[root(groups[order[j]]) != mine for j in later]] if len(later) else later
-        for d in known[-8:]:
+        later = later[label[later] != label[at]]
+        if side is not None:
+            later = later[side[later] != side[at]]
+        for d in known:
             if len(later):
                 gap = np.abs(d[later] - d[at])
                 later = later[~(gap > reach)]  # unknown distances are NaN and stay
@@ -285,21 +312,21 @@ def join_region(nodes: list[int], groups: list[int], sets: list[np.ndarray], num
         distance = np.full(len(order), np.nan)
         distance[at] = 0
         distance[later] = 1 - shared / (sizes[at] + sizes[later] - shared)
-        known.append(distance)
+        known = [*known[-7:], distance]
         for j, n in zip(later, shared, strict=True):
-            if _links(int(n), int(sizes[at]), int(sizes[j]), num, den):
+            if label[j] != label[at] and _links(int(n), int(sizes[at]), int(sizes[j]), num, den):
                 found.append((nodes[order[j]], nodes[i]))
-                parent[root(groups[order[j]])] = root(groups[i])
+                label[label == label[j]] = label[at]
     return found
 
 
 def _regions(rows: DataFrame, num: int, den: int) -> DataFrame:
     def run(keys, frame):
         sets = [np.frombuffer(x, np.uint64) for x in frame.column("items").to_pylist()]
-        found = join_region(frame.column("node").to_pylist(), frame.column("component").to_pylist(), sets, num, den)
+        found = join_region(frame.column("node").to_pylist(), frame.column("component").to_pylist(), sets, num, den, frame.column("block").to_pylist())
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return rows.groupBy("s", "bucket").applyInArrow(run, "a long, b long")
+    return rows.groupBy("s", "bucket", "lo", "hi").applyInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -319,7 +346,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: in
     shared = tx.materialized(_shared(rows, num, den).join(nodes.select("k1", "k2", "node"), ["k1", "k2"]), "regions")
     shared = shared.join(_distinct_regions(shared), "s")
     profiles = base.where("doc_id is not null").join(nodes.select("k1", "k2", F.col("node").alias("doc_id")), ["k1", "k2", "doc_id"]).select("k1", "k2", "profile").dropDuplicates(["k1", "k2"])
-    near = _open(_bucketed(shared.join(profiles, ["k1", "k2"]), num, den), num, den)
+    near = _open(shared.join(profiles, ["k1", "k2"]), num, den)
     shared = tx.materialized(shared.drop("n").join(near, ["s", "k1", "k2"]), "open_regions")
     wanted = shared.select("k1", "k2", F.col("node").alias("doc_id")).distinct()
     sets = tx.materialized(_fetch(docs, wanted, shingle), "sets")
@@ -327,17 +354,28 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: in
     # one pass: every set against the pivot set of the nearest region it shares
     nearest = shared.groupBy("k1", "k2").agg(F.min(F.struct("pos", "s")).alias("m"), F.first("node").alias("node")).select("k1", "k2", "node", "m.s")
     pivots = shared.groupBy("s").agg(F.min(F.struct("node", "k1", "k2")).alias("p")).select("s", "p.*")
-    counts = nearest.groupBy("s").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("salts"))
-    heads = pivots.join(counts, "s").select("s", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "node", "k1", "k2")
-    members = nearest.join(counts, "s").select("s", F.pmod(F.xxhash64("k1", "k2"), "salts").cast("int").alias("salt"), F.lit(1).alias("kind"), "node", "k1", "k2")
-    starred = heads.union(members).join(sets.select("k1", "k2", "items"), ["k1", "k2"]).select("s", "salt", "kind", "node", "items")
-    links = tx.materialized(_stars(starred, num, den), "star_links")
-    labels = tx.materialized(components(links), "labels")
-
-    labelled = shared.join(labels, "node", "left").select("s", "k1", "k2", "node", "size", F.coalesce("component", "node").alias("component"))
-    open_cells = _distinct_regions(labelled, F.min("component").alias("low"), F.max("component").alias("high"))
-    left = _bucketed(labelled.join(open_cells, "s"), num, den).select("s", "k1", "k2", "node", "component", "bucket")
-    more = _regions(left.join(sets.select("k1", "k2", "items"), ["k1", "k2"]).select("s", "bucket", "node", "component", "items"), num, den)
+
+    def starred(members):
+        counts = members.groupBy("s").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("salts"))
+        heads = pivots.join(counts, "s").select("s", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "node", "k1", "k2")
+        salted = members.join(counts, "s").select("s", F.pmod(F.xxhash64("k1", "k2"), "salts").cast("int").alias("salt"), F.lit(1).alias("kind"), "node", "k1", "k2")
+        rows = heads.union(salted).join(sets.select("k1", "k2", "items"), ["k1", "k2"]).select("s", "salt", "kind", "node", "items")
+        return tx.materialized(_stars(rows, num, den), "star_links")
+
+    def unfinished(links):
+        """Labelled members, and the regions (s, n) that hold several components."""
+        labels = tx.materialized(components(links), "labels")
+        labelled = shared.join(labels, "node", "left").select("s", "k1", "k2", "node", "size", F.coalesce("component", "node").alias("component"))
+        return labelled, tx.materialized(_distinct_regions(labelled, F.min("component").alias("low"), F.max("component").alias("high")), "unfinished")
+
+    links = starred(nearest)
+    labelled, open_cells = unfinished(links)
+    large = open_cells.where(F.col("n") > REGION_ROWS).select("s")
+    if large.limit(1).count():
+        links = links.union(starred(shared.join(large, "s").select("k1", "k2", "node", "s")))
+        labelled, open_cells = unfinished(links)
+    left = _blocked(_bucketed(labelled.join(open_cells, "s"), num, den)).select("s", "k1", "k2", "node", "component", "bucket", "lo", "hi", "block")
+    more = _regions(left.join(sets.select("k1", "k2", "items"), ["k1", "k2"]).select("s", "bucket", "lo", "hi", "block", "node", "component", "items"), num, den)
     # a doc_id with several sets joins the copies of each of them
     ends = base.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("low"), F.max(F.struct("k1", "k2")).alias("high"))
     several = named.join(ends.where("low <> high").select("doc_id"), "doc_id").select("doc_id", "k1", "k2").distinct()

@@ -289,3 +289,22 @@ def test_doc_id_with_several_texts(spark):
     got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     low = {20: 20, 21: 20, 30: 30}
     assert sorted(map(tuple, got)) == sorted((d, 26 if t else 0, low.get(d, 1)) for d, t in rows)
+
+
+def test_large_regions_in_blocks(spark, monkeypatch):
+    """Many near copies of several texts in the same regions: no group is large, and the components are exact."""
+    text.ship(spark)
+    monkeypatch.setattr(jaccard_join, "REGION_ROWS", 40)
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 16)
+    shared, rows = [f"v{k}" for k in range(24)], []
+    for c in range(4):
+        base = shared + [f"{c}w{k}" for k in range(36)]
+        rows += [(1000 * c + k, " ".join(base[: 59 - k % 20] + [f"x{c}_{k}"] + base[60 - k % 20 :])) for k in range(80)]
+    got = dict((r.doc_id, r.component_id) for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == {d: d // 1000 * 1000 for d, _ in rows}
+    frame = spark.createDataFrame([(1, 0, 100, k, k, 0 if k < 60 else k) for k in range(100)], "s long, bucket int, n long, k1 long, k2 long, component long")
+    groups = collections.defaultdict(list)
+    for r in jaccard_join._blocked(frame).collect():
+        groups[r.lo, r.hi].append((r.k1, r.block))
+    met = {(a, b) for (lo, hi), g in groups.items() for a, x in g for b, y in g if a < b and (lo == hi or x != y)}
+    assert all((a, b) in met for a in range(100) for b in range(a + 1, 100) if b >= 60) and max(map(len, groups.values())) <= 70
