@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proofline.llm import decontaminate, jaccard_join, language_id, pieces, secrets, substring_dedup, token_counts, token_files, topk, toxicity
+from proofline.llm import (
+    decontaminate, fill_in_middle, hard_negatives, jaccard_join, language_id, pieces, pii, secrets, substring_dedup, token_counts, token_files, topk, toxicity,
+)
 from proofline.llm.text import table
 from proofline.session import scratch
 
@@ -69,16 +71,36 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.fit(docs))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.rearrange(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256")
+    )
+
+
 def registered() -> dict:
     own = (
         op1_token_counts, op2_benchmark_leaks, op3_top_k, op4_language_id, op5_pieces, op6_substring_dedup, op7_toxicity,
-        op8_secrets, op9_token_files, op10_jaccard_join,
+        op8_secrets, op9_token_files, op10_jaccard_join, op11_pii, op12_hard_negatives, op13_fill_in_middle,
     )
     return {f.__name__: f for f in own}
 
 
 def sql() -> dict[str, str]:
-    return {"op3_top_k": TOP_K, "op6_substring_dedup": REPEATS, "op10_jaccard_join": LINKED}
+    return {
+        "op3_top_k": TOP_K, "op6_substring_dedup": REPEATS, "op10_jaccard_join": LINKED, "op12_hard_negatives": NEGATIVES, "op13_fill_in_middle": REARRANGED,
+    }
 
 
 TOP_K = """
@@ -146,3 +168,47 @@ WITH RECURSIVE texts AS (
 SELECT texts.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(texts.doc_id, coalesce(low, texts.doc_id)) AS component_id
 FROM texts LEFT JOIN sizes USING (row_id) LEFT JOIN lowest ON lowest.doc_id = texts.doc_id
 """
+
+NEGATIVES = """
+WITH scaled AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM scaled a JOIN scaled b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), windows AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 5
+"""
+
+REARRANGED = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), drawn AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM texts
+), parts AS (
+  SELECT *, array_to_string(u[1 : least(x, y)], '') AS pre, array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') AS mid,
+    array_to_string(u[greatest(x, y) + 1 : n], '') AS suf
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN t ELSE pre || mid || suf END) AS restored_sha256
+FROM parts
+"""
