@@ -385,11 +385,12 @@ def train(texts: list[tuple[str, list[tuple[int, int, int]]]]) -> dict | None:
     return {"weights": {n: float(weights[k]) for n, k in names.items()}, "moves": moves}
 
 
-def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis, keepdims=True)
+def _log_product(x: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The logarithm of exp(x) @ m, row by row."""
+    top = x.max(1, keepdims=True)
     top = np.where(np.isfinite(top), top, 0)
     with np.errstate(divide="ignore"):
-        return np.log(np.exp(x - top).sum(axis)) + np.squeeze(top, axis)
+        return np.log(np.exp(x - top) @ m) + top
 
 
 def _expected(score, cells, start, longest, moves) -> tuple[np.ndarray, np.ndarray]:
@@ -397,7 +398,7 @@ def _expected(score, cells, start, longest, moves) -> tuple[np.ndarray, np.ndarr
 
     cells (row, end, units, type) of the segments; every row begins at its start and ends at `longest`.
     """
-    kinds, n = len(moves), len(start)
+    kinds, n, step = len(moves), len(start), np.exp(moves)
     r, e, d, k = cells.T
     s = e - d
     by_end, by_start = ([np.flatnonzero(x == at) for at in range(longest + 1)] for x in (e, s))
@@ -409,13 +410,13 @@ def _expected(score, cells, start, longest, moves) -> tuple[np.ndarray, np.ndarr
         own = by_end[at]
         np.logaddexp.at(forward, (r[own], e[own], k[own]), into[r[own], s[own], k[own]] + score[own])
         # by the type of the segment that begins here
-        into[:, at] = _sum_exp(forward[:, at, :, None] + moves[None], 1)
+        into[:, at] = _log_product(forward[:, at], step)
     for at in range(longest - 1, -1, -1):
         own = by_start[at]
         np.logaddexp.at(leave, (r[own], s[own], k[own]), backward[r[own], e[own], k[own]] + score[own])
         # by the type of the segment that ends here
-        backward[:, at] = _sum_exp(moves[None] + leave[:, at, None, :], 2)
-    whole = _sum_exp(forward[:, longest], 1)
+        backward[:, at] = _log_product(leave[:, at], step.T)
+    whole = _log_product(forward[:, longest], np.ones((kinds, 1)))[:, 0]
     rest = score + backward[r, e, k] - whole[r]
     expect = np.exp(into[r, s, k] + rest)
     moved = np.stack([np.bincount(k, np.exp(forward[r, s, b] + moves[b, k] + rest), kinds) for b in range(kinds)])
