@@ -4,7 +4,7 @@ Jaccard distance is a metric. Single shingles are the first pivots: the distance
 pivot {s} is 1 - 1/|x| if x holds s, else 1, so the regions nearest to x are those of its own shingles.
 Sets that can lie within the allowed distance share a region among their first |x| - ceil(t |x|) + 1
 shingles in any fixed order, so a set is replicated to these boundary regions and to no others. The
-order puts shingles that a sketch of all documents finds frequent last, which keeps regions small.
+order puts shingles last that are frequent in some stretch of the corpus, which keeps regions small.
 Inside a region, neighbours in size whose ratio is below t cannot link and alone ones leave at once.
 
 What is left joins region by region, exactly. Sets first meet as short profiles, their counts by ranges
@@ -15,9 +15,10 @@ are still in several components join again: each set in turn is a pivot, its dis
 only to sets that the size window and the triangle inequality over earlier pivots leave open, and no
 pair is written that is not a link.
 
-No task takes a large region whole. Its members stay without a look at their profiles. If they are
-still in several components after the pass, they all meet the region's own pivot, salted; then blocks of
-members meet in pairs, except blocks of the region's largest component among themselves.
+No task takes a large region whole. It is cut into overlapping ranges of size, and only the members of a
+range that is large itself stay without a look at their profiles. If a large region is still in several
+components after the pass, all its members meet its own pivot, salted; then blocks of members meet in
+pairs, except blocks of the region's largest component among themselves.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 from proofline.llm import text as tx
 from proofline.llm.components import components
 
-SKETCH = 1 << 18
+STRETCH = 1 << 22
+OFTEN = 4
+HEAVY = 1 << 18
 STAR_ROWS = 32
 REGION_ROWS = 2000
 BLOCK_ROWS = 256
@@ -63,25 +66,48 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
             yield a + i, shingle_set(words[offsets[i] : offsets[i + 1]], k)
 
 
-def frequent_cells(docs: DataFrame, k: int) -> np.ndarray:
-    """A level for each cell of a hash table: 0, or higher the more documents its shingles are in.
+def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted shingles that are frequent, and a level for each that rises with the number of documents.
 
-    Every document is counted. A task reports the cells well above its mean, so at most SKETCH numbers
-    reach the driver. Only the order of the shingles hangs on it, not the result.
+    Every document is counted: each stretch of about STRETCH shingles reports those in OFTEN of its
+    documents or more, whatever the size of the corpus, and the HEAVY most frequent ones reach the driver.
+    Only the order of the shingles hangs on it, not the result.
     """
 
+    def report(held):
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        often = np.flatnonzero(n >= OFTEN)
+        often = often[np.argsort(-n[often], kind="stable")[:HEAVY]]
+        return pa.RecordBatch.from_arrays([pa.array(tx.signed(found[often])), pa.array(n[often].astype(np.int64))], ["s", "n"])
+
     def count(batches):
-        seen = np.zeros(SKETCH, np.int64)
+        held, size = [], 0
         for batch in batches:
             for _, s in _sets(batch, k):
-                np.add.at(seen, (s >> np.uint64(46)).astype(np.int64), 1)
-        heavy = np.flatnonzero(seen >= max(8, 8 * seen.mean()))
-        yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(seen[heavy])], ["cell", "n"])
-
-    found = docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    levels = np.zeros(SKETCH, np.uint8)
-    levels[found["cell"].to_numpy(np.int64)] = 1 + np.log2(found["n"].to_numpy(np.float64)).astype(np.uint8) if len(found) else 0
-    return levels
+                held.append(s)
+                size += len(s)
+                if size >= STRETCH:
+                    yield report(held)
+                    held, size = [], 0
+        if held:
+            yield report(held)
+
+    summed = docs.select("text").mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    found = summed.orderBy(F.col("n").desc(), "s").limit(HEAVY).toPandas()
+    shingles = found["s"].to_numpy(np.int64).view(np.uint64)
+    levels = 1 + np.log2(found["n"].to_numpy(np.float64)).astype(np.uint8) if len(found) else np.zeros(0, np.uint8)
+    order = np.argsort(shingles)
+    return shingles[order], levels[order]
+
+
+def levels_of(shingles: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """0 for each shingle that is not frequent, else its level."""
+    out = np.zeros(len(shingles), np.uint8)
+    if len(known[0]):
+        at = np.minimum(np.searchsorted(known[0], shingles), len(known[0]) - 1)
+        same = known[0][at] == shingles
+        out[same] = known[1][at[same]]
+    return out
 
 
 def profile(shingles: np.ndarray) -> bytes:
@@ -125,10 +151,9 @@ def has_partner(sizes: np.ndarray, profiles: list[np.ndarray], num: int, den: in
 
 def _prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Per document: doc_id, the key of its set, its size, and the shingles of its boundary regions."""
-    levels = docs.sparkSession.sparkContext.broadcast(frequent_cells(docs, k))
+    known = docs.sparkSession.sparkContext.broadcast(frequent(docs, k))
 
     def run(batches):
-        level = levels.value
         for batch in batches:
             ids = batch.column("doc_id")
             for a, z in tx.slices(batch):
@@ -137,7 +162,7 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     keys.append(set_key(s))
                     sizes.append(len(s))
                     profiles.append(profile(s))
-                    order = np.argsort(level[(s >> np.uint64(46)).astype(np.int64)], kind="stable")
+                    order = np.argsort(levels_of(s, known.value), kind="stable")
                     prefixes.append(tx.signed(s[order[: len(s) - needed(len(s), num, den) + 1]]) if len(s) else np.zeros(0, np.int64))
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))
@@ -186,7 +211,8 @@ def _shared(regions: DataFrame, num: int, den: int) -> DataFrame:
 def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
     """(s, k1, k2): members of regions that have a partner there which their profiles do not rule out.
 
-    Members of regions of more than REGION_ROWS (count n) all stay: comparing them would take one task.
+    Regions of more than REGION_ROWS (count n) go by ranges of size that hold every pair of sizes which can
+    link; the members of a range that is larger itself all stay, as comparing them would take one task.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -194,8 +220,12 @@ def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
         profiles = [np.frombuffer(x, np.uint8) for x in table.column("profile").to_pylist()]
         return table.select(["s", "k1", "k2"]).filter(pa.array(has_partner(table.column("size").to_numpy(), profiles, num, den)))
 
-    small = rows.where(F.col("n") <= REGION_ROWS).groupBy("s").applyInArrow(run, "s long, k1 long, k2 long")
-    return small.union(rows.where(F.col("n") > REGION_ROWS).select("s", "k1", "k2")).distinct()
+    schema = "s long, k1 long, k2 long"
+    small = rows.where(F.col("n") <= REGION_ROWS).groupBy("s").applyInArrow(run, schema)
+    ranges = _bucketed(rows.where(F.col("n") > REGION_ROWS), num, den)
+    ranges = ranges.join(ranges.groupBy("s", "bucket").agg(F.count("*").alias("m")), ["s", "bucket"])
+    dealt = ranges.where(F.col("m") <= REGION_ROWS).groupBy("s", "bucket").applyInArrow(run, schema)
+    return small.union(dealt).union(ranges.where(F.col("m") > REGION_ROWS).select("s", "k1", "k2")).distinct()
 
 
 def _bucketed(rows: DataFrame, num: int, den: int) -> DataFrame:
