@@ -47,8 +47,9 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> dict | None:
-    labels = table(spark, sf_dir, "labels").where("toxic in (0, 1)").select("doc_id", "toxic")
-    return toxicity.fit(docs.where(remainder(5) != 0).select("doc_id", "text").join(labels, "doc_id"))
+    """A model from the labelled rows of docs whose crc32 remainder by 5 is not 0; only the chosen ids are broadcast."""
+    marks = toxicity.sampled_labels(table(spark, sf_dir, "labels").select("doc_id", "toxic").where(remainder(5) != 0))
+    return toxicity.fit(docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

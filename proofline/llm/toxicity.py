@@ -23,13 +23,13 @@ from proofline.llm.chunks import ASCII_SPACE, ChunkMemory
 SAMPLE_TOXIC = 3000
 SAMPLE_ORDINARY = 6000
 WINDOW = 32
-LEAST_BYTES = 4
 TOXIC_WINDOWS = 2048
 ORDINARY_WINDOWS = 4096
 CONTEXTS = 5
 CONTRAST = 12
 LEVEL = 12
-REMEMBERED = 600_000
+REMEMBERED = 200_000
+PAIR_BYTES = 1 << 18
 _EDGES = b".,!?;:\"'()[]{}<>*-_"
 
 
@@ -37,13 +37,15 @@ def tiled(word: bytes) -> bytes:
     return ((b"|" + word) * WINDOW)[:WINDOW]
 
 
-def windows(word: bytes) -> list[bytes]:
-    """The windows of a word: one, or several that overlap by half if it is longer than a window."""
+def pieces(word: bytes) -> list[bytes]:
+    """The parts of a word that make a window each: one, or several that overlap by half if it is longer than a window."""
     word = word.strip(_EDGES)
-    if len(word) < LEAST_BYTES:
-        return []
     step = WINDOW // 2
-    return [tiled(word[i : i + WINDOW - 1]) for i in range(0, max(1, len(word) - step), step)]
+    return [word[i : i + WINDOW - 1] for i in range(0, max(1, len(word) - step), step)] if word else []
+
+
+def windows(word: bytes) -> list[bytes]:
+    return [tiled(p) for p in pieces(word)]
 
 
 class Distance:
@@ -98,24 +100,24 @@ def _largest(docs: DataFrame, shared, columns: str) -> DataFrame:
     def run(batches):
         own = _distance(shared.value)
         for batch in batches:
-            raw = tx.as_bytes(pa.compute.utf8_lower(batch.column("text")))
-            found = [own.largest(raw[a:z]) for a, z in tx.slices(batch)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.concatenate(found) if found else [], pa.int64())], [*keep, "distance"])
+            for a, z in tx.slices(batch):
+                part = batch.slice(a, z - a)
+                found = own.largest(tx.as_bytes(pa.compute.utf8_lower(part.column("text"))))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(found, pa.int64())], [*keep, "distance"])
 
     return docs.select(*keep, "text").mapInArrow(run, f"{columns}, distance long")
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
-    """(word, toxic, n): in how many different contexts (the word before) a window's word stands."""
+    """(word, bad, good): in how many different contexts (the word before) a window's word or part stands, by label."""
 
     def run(batches):
         for batch in batches:
-            raw, marks = tx.as_bytes(pa.compute.utf8_lower(batch.column("text"))), batch.column("toxic").to_pylist()
-            for a, z in tx.slices(batch):
-                found = set()
-                for text, mark in zip(raw[a:z], marks[a:z], strict=True):
-                    own = [w.strip(_EDGES) for w in text.split()]
-                    found.update((w, b, mark) for b, w in zip([b"", *own], own, strict=False) if LEAST_BYTES <= len(w) < WINDOW)
+            for a, z in tx.slices(batch, limit=PAIR_BYTES):
+                part, found = batch.slice(a, z - a), set()
+                for text, mark in zip(tx.as_bytes(pa.compute.utf8_lower(part.column("text"))), part.column("toxic").to_pylist(), strict=True):
+                    own = text.split()
+                    found.update((p, b, mark) for b, w in zip([b"", *own], own, strict=False) for p in pieces(w))
                 cols = list(zip(*found, strict=True)) if found else [[], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int32())], ["word", "before", "toxic"])
 
@@ -123,8 +125,20 @@ def _contexts(rows: DataFrame) -> DataFrame:
     return pairs.groupBy("word").agg(F.sum(F.expr("int(toxic = 1)")).alias("bad"), F.sum(F.expr("int(toxic = 0)")).alias("good"))
 
 
+def sampled_labels(labels: DataFrame, toxic: int = SAMPLE_TOXIC, ordinary: int = SAMPLE_ORDINARY) -> DataFrame:
+    """(doc_id, toxic) of about `toxic` and `ordinary` ids of labels (doc_id, toxic), chosen by a hash of doc_id.
+
+    Equal rows count once; null ids, other labels than 0 and 1, and ids with both labels are left out.
+    """
+    marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("high"))
+    marks = marks.where("toxic = high").select("doc_id", "toxic")
+    counts = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = F.when(F.col("toxic") == 1, F.lit(min(1.0, toxic / counts.get(1, 1)))).otherwise(F.lit(min(1.0, ordinary / counts.get(0, 1))))
+    return marks.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < share * 1_000_000)
+
+
 def fit(labelled: DataFrame, toxic: int = SAMPLE_TOXIC, ordinary: int = SAMPLE_ORDINARY) -> dict | None:
-    """Learn from about `toxic` and `ordinary` rows of labelled (doc_id, text, toxic), chosen by a hash of doc_id.
+    """Learn from about `toxic` and `ordinary` rows of labelled (doc_id, text, toxic), chosen by a hash of doc_id and text.
 
     Rows without text or label are left out; None if a label is missing altogether. The driver gets at
     most TOXIC_WINDOWS and ORDINARY_WINDOWS words and one row for each label and distance.
@@ -134,7 +148,9 @@ def fit(labelled: DataFrame, toxic: int = SAMPLE_TOXIC, ordinary: int = SAMPLE_O
     if len(counts) < 2:
         return None
     share = F.when(F.col("toxic") == 1, F.lit(min(1.0, toxic / counts[1]))).otherwise(F.lit(min(1.0, ordinary / counts[0])))
-    chosen = tx.materialized(rows.where(F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(1_000_000)) < share * 1_000_000).repartition("doc_id"), "labelled")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    picked = rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(12)), F.lit(1_000_000)) < share * 1_000_000)
+    chosen = tx.materialized(picked.repartition(parts, F.xxhash64("doc_id", "text")), "labelled")
     n = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     words = tx.materialized(_contexts(chosen), "contexts")
     ratio = CONTRAST * n.get(1, 0) / max(1, n.get(0, 0))
@@ -170,7 +186,11 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: dict | None) -> DataFrame:
-    """The rows of docs whose text the model does not reject, with all their columns."""
+    """The rows of docs whose text the model does not reject, with all their columns.
+
+    Null and empty texts stay, as do rows with a null doc_id and repeated rows; all stay without a model.
+    A long text is judged whole.
+    """
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -178,8 +198,9 @@ def without_toxic(docs: DataFrame, model: dict | None) -> DataFrame:
     def run(batches):
         own = _distance(shared.value)
         for batch in batches:
-            raw = tx.as_bytes(pa.compute.utf8_lower(batch.column("text")))
-            found = [own.largest(raw[a:z]) for a, z in tx.slices(batch)]
-            yield batch.filter(pa.array(np.concatenate(found) < model["threshold"] if found else [], pa.bool_()))
+            for a, z in tx.slices(batch):
+                part = batch.slice(a, z - a)
+                found = own.largest(tx.as_bytes(pa.compute.utf8_lower(part.column("text"))))
+                yield part.filter(pa.array(found < model["threshold"], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
