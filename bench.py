@@ -24,6 +24,9 @@ HEADLINE = [
     "profile_diff",
     "row_diff",
     "row_diff_narrowed",
+    "hash_tree_diff",
+    "verification_checks",
+    "as_of_many",
     "partition_counts",
     "reconcile_orphans",
     "apply_changes",

@@ -78,10 +78,15 @@ def skipped(spark: SparkSession, check: str) -> DataFrame:
     return _row(spark, check, "*", "*", None)
 
 
+def only(profile: DataFrame, *names: str) -> DataFrame:
+    """The rows of some checks; taken before two fingerprints meet, so that the others do not move."""
+    return profile.where(F.col("check_name").isin(*names))
+
+
 def fingerprint_checks(source: DataFrame, target: DataFrame) -> DataFrame:
     """Counts, sums, ranges, NULLs, parents, texts and statuses of two fingerprints."""
-    compared = fingerprint_diff(source, target, only_differences=False)
-    return _check(compared.where(F.col("check_name").isin(*COMPARED)).withColumnRenamed("same", "passed"))
+    compared = fingerprint_diff(only(source, *COMPARED), only(target, *COMPARED), only_differences=False)
+    return _check(compared.withColumnRenamed("same", "passed"))
 
 
 def unicode_present(source: DataFrame, contract: Contract) -> DataFrame:
@@ -220,13 +225,17 @@ def next_key_checks(target: DataFrame, contract: Contract, next_keys: dict[str,
 
 
 def anchor_checks(original: DataFrame, source: DataFrame, table: Table, column: str) -> DataFrame:
-    """The source itself agrees with the file it was loaded from; one failed row per key."""
-    return _check(
-        anchor_diff(original, source, table, column).select(
-            F.lit("anchor").alias("check_name"), "table_name", F.lit(column).alias("subject"), F.col("row_key").alias("key"),
-            F.col("file_value").alias("source_value"), F.col("table_value").alias("target_value"), F.lit(False).alias("passed"),
-        )
+    """The source itself agrees with the file it was loaded from: one failed row per key, or one passed row if there is none."""
+    found = anchor_diff(original, source, table, column)
+    total = found.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("anchor").alias("check_name"), F.lit(table.name).alias("table_name"), F.lit(f"{column}: rows that differ").alias("subject"),
+        F.lit(NO_KEY).alias("key"), F.lit("0").alias("source_value"), F.col("n").cast("string").alias("target_value"), (F.col("n") == 0).alias("passed"),
+    )
+    rows = found.select(
+        F.lit("anchor").alias("check_name"), "table_name", F.lit(column).alias("subject"), F.col("row_key").alias("key"),
+        F.col("file_value").alias("source_value"), F.col("table_value").alias("target_value"), F.lit(False).alias("passed"),
     )
+    return _check(rows.unionByName(total.where("passed")))
 
 
 def verify(
@@ -298,8 +307,9 @@ def gate(checks: DataFrame, shown: int = 20) -> DataFrame:
 
 def snapshot_compare(restored: DataFrame, live: DataFrame) -> DataFrame:
     """A restored copy against the live one: counts and sums of two fingerprints."""
-    both = fingerprint_diff(restored, live, only_differences=False)
-    return both.where(F.col("check_name").isin("row_count", "money_sum")).select(
+    wanted = ("row_count", "money_sum")
+    both = fingerprint_diff(only(restored, *wanted), only(live, *wanted), only_differences=False)
+    return both.select(
         "table_name", "check_name", "subject", F.col("source_value").alias("restored_value"),
         F.col("target_value").alias("live_value"), "same",
     )
@@ -307,10 +317,10 @@ def snapshot_compare(restored: DataFrame, live: DataFrame) -> DataFrame:
 
 def side_by_side(source: DataFrame, target: DataFrame) -> DataFrame:
     """Both sides of the ungrouped measures next to each other, with the money difference."""
-    both = fingerprint_diff(source, target, only_differences=False)
-    wanted = both.where(F.col("check_name").isin("row_count", "money_sum", "match_count"))
+    wanted = ("row_count", "money_sum", "match_count")
+    both = fingerprint_diff(only(source, *wanted), only(target, *wanted), only_differences=False)
     total = "decimal(38,4)"
-    return wanted.select(
+    return both.select(
         "table_name", "check_name", "subject", "key", "source_value", "target_value", "same",
         (F.col("target_value").cast(total) - F.col("source_value").cast(total)).cast(total).alias("delta"),
     )

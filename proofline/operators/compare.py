@@ -14,10 +14,12 @@ KEY_BLOCK = 10_000  # keys per checksum partition
 def fingerprint_diff(source: DataFrame, target: DataFrame, only_differences: bool = True) -> DataFrame:
     """Join two fingerprints on what was measured; a value present on one side only differs."""
     on = ["table_name", "check_name", "subject", "key"]
-    both = source.select(*on, F.col("value").alias("source_value")).join(
-        target.select(*on, F.col("value").alias("target_value")), on, "full_outer"
+    one, other = source.select(F.struct(*on).alias("m"), "value"), target.select(F.struct(*on).alias("m"), "value")
+    # a NULL key is a group of its own
+    both = one.alias("s").join(other.alias("t"), F.col("s.m").eqNullSafe(F.col("t.m")), "full_outer").select(
+        F.coalesce("s.m", "t.m").alias("m"), F.col("s.value").alias("source_value"), F.col("t.value").alias("target_value")
     )
-    both = both.withColumn("same", F.col("source_value").eqNullSafe(F.col("target_value")))
+    both = both.select("m.*", "source_value", "target_value").withColumn("same", F.col("source_value").eqNullSafe(F.col("target_value")))
     return both.where(~F.col("same")) if only_differences else both
 
 
@@ -49,7 +51,7 @@ def differing_blocks(source: DataFrame, target: DataFrame, table: Table, block:
     ).select(F.coalesce(s.key_block, t.key_block).alias("key_block"), "source_rows", "target_rows")
 
 
-def _differences(source: DataFrame, target: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
+def _differences(source: DataFrame, target: DataFrame, key: Column, columns: dict[str, Column]) -> DataFrame:
     """One row per key whose rows differ, with the differing values of either side.
 
     Equal rows cancel out: both sides are stacked and counted per distinct row, so
@@ -59,7 +61,7 @@ def _differences(source: DataFrame, target: DataFrame, key: str, columns: dict[s
 
     def side(df: DataFrame, weight: int) -> DataFrame:
         return df.select(
-            F.col(key).alias("_key"), *[c.alias(n) for n, c in columns.items()], F.lit(weight).alias("_balance")
+            key.alias("_key"), *[c.alias(n) for n, c in columns.items()], F.lit(weight).alias("_balance")
         )
 
     left = (
@@ -92,7 +94,7 @@ def row_diff(source: DataFrame, target: DataFrame, table: Table) -> DataFrame:
     key has several differing rows on a side and no single counterpart exists.
     """
     rest = [n for n in table.names() if n != table.key]
-    found = _differences(source, target, table.key, {n: canonical(table, n) for n in rest})
+    found = _differences(source, target, canonical(table, table.key), {n: canonical(table, n) for n in rest})
     differing = F.array_compact(
         F.array(*[F.when(~F.col(f"s_{n}").eqNullSafe(F.col(f"t_{n}")), F.lit(n)) for n in rest])
     )
@@ -121,9 +123,48 @@ def narrowed_row_diff(source: DataFrame, target: DataFrame, table: Table, block:
     return row_diff(suspect(source), suspect(target), table)
 
 
+def store_bucketed(df: DataFrame, table: Table, name: str, buckets: int) -> DataFrame:
+    """A copy as a stored table in ``buckets`` buckets of the canonical key, sorted by it."""
+    keyed = df.select(*[canonical(table, n).alias(n) for n in table.names()])
+    keyed.repartition(buckets, table.key).write.format("parquet").bucketBy(buckets, table.key).sortBy(table.key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def bucketed_row_diff(source: DataFrame, target: DataFrame, table: Table) -> DataFrame:
+    """The row compare of copies stored in equal buckets of the key: each bucket meets its counterpart where it lies.
+
+    Each side folds to one row per key inside its buckets, so repeated keys meet once and
+    the join has at most one row on each side. A key with several rows on a side compares
+    the multisets of their digests. NULL keys lie in a bucket but equal nothing, so their rows
+    come out as missing and as extra.
+    """
+    rest = [n for n in table.names() if n != table.key]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        row = F.struct(*[canonical(table, n).alias(n) for n in rest])
+        # equal rows may stand in any order, so the digests of a key are summed
+        digest = F.xxhash64(*[canonical(table, n) for n in rest], *[F.col(n).isNull() for n in rest]).cast("decimal(38,0)")
+        folded = df.groupBy(F.col(table.key)).agg(F.count(F.lit(1)).alias(f"{name}_n"), F.max(row).alias(f"{name}_row"), F.sum(digest).alias(f"{name}_sum"))
+        return folded.withColumn(f"{name}_key", F.col(table.key)).withColumnRenamed(table.key, f"_{name}")
+
+    both = side(source, "s").join(side(target, "t"), F.col("_s") == F.col("_t"), "full_outer")
+    same = F.col("s_n").eqNullSafe(F.col("t_n")) & F.col("s_row").eqNullSafe(F.col("t_row")) & F.col("s_sum").eqNullSafe(F.col("t_sum"))
+    found = both.where(~same).withColumns({"only_source": F.coalesce("s_n", F.lit(0)), "only_target": F.coalesce("t_n", F.lit(0))})
+    status = (
+        F.when(F.col("only_target") == 0, "missing_in_target").when(F.col("only_source") == 0, "extra_in_target")
+        .when((F.col("only_source") > 1) | (F.col("only_target") > 1), "repeated_key").otherwise("changed")
+    )
+    differing = F.array_compact(F.array(*[F.when(~F.col(f"s_row.{n}").eqNullSafe(F.col(f"t_row.{n}")), F.lit(n)) for n in rest]))
+    return found.withColumn("status", status).select(
+        F.lit(table.name).alias("table_name"), F.coalesce("s_key", "t_key").cast("string").alias("row_key"), "status",
+        F.when(F.col("status") == "changed", F.array_join(differing, ",")).alias("columns"),
+        F.col("only_source").cast("bigint").alias("only_source"), F.col("only_target").cast("bigint").alias("only_target"),
+    )
+
+
 def key_set_diff(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Keys that exist on one side only."""
-    found = _differences(source.select(key).distinct(), target.select(key).distinct(), key, {})
+    found = _differences(source.select(key).distinct(), target.select(key).distinct(), F.col(key), {})
     return found.select(F.col("_key").cast("string").alias("row_key"), "status")
 
 
@@ -133,7 +174,7 @@ def anchor_diff(original: DataFrame, loaded: DataFrame, table: Table, column: st
     Comparing two databases proves a faithful move, never that the thing moved was
     right. Keys missing on a side are reported as well.
     """
-    found = _differences(original, loaded, table.key, {column: F.col(column)})
+    found = _differences(original, loaded, canonical(table, table.key), {column: F.col(column)})
     return found.select(
         F.lit(table.name).alias("table_name"),
         F.col("_key").cast("string").alias("row_key"),

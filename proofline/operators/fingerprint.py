@@ -18,7 +18,6 @@ from proofline.functions.predicates import any_like, exact, folded
 FINGERPRINT = ["table_name", "check_name", "subject", "key", "value"]
 TOTAL = "decimal(38,4)"
 NO_KEY = ""
-NULL_KEY = "<null>"
 
 
 def exact_sum(column: str) -> Column:
@@ -30,14 +29,15 @@ def moment_text(c: Column) -> Column:
     return c.cast("string")
 
 
-def scalar_measures(table: Table, case: CaseCheck | None) -> list[tuple[str, str, str, Column]]:
-    """(check, subject, key, aggregate) of everything one ungrouped scan answers."""
-    found = [("row_count", "*", NO_KEY, F.count(F.lit(1)).cast("string"))]
+def scalar_measures(table: Table, case: CaseCheck | None, real: Column | None = None) -> list[tuple[str, str, str, Column]]:
+    """(check, subject, key, aggregate) of everything one ungrouped scan answers; rows that are not ``real`` do not count."""
+    real = F.lit(True) if real is None else real
+    found = [("row_count", "*", NO_KEY, F.count_if(real).cast("string"))]
     found += [("money_sum", c, NO_KEY, exact_sum(c).cast("string")) for c in table.money]
     for c in table.dated:
         found.append(("date_range", c, "min", moment_text(F.min(c))))
         found.append(("date_range", c, "max", moment_text(F.max(c))))
-    found += [("null_count", c, NO_KEY, F.count_if(F.col(c).isNull()).cast("string")) for c in table.nullable]
+    found += [("null_count", c, NO_KEY, F.count_if(real & F.col(c).isNull()).cast("string")) for c in table.nullable]
     found.append(("max_key", table.key, NO_KEY, F.max(table.key).cast("string")))
     if case:
         c = F.col(case.column)
@@ -62,27 +62,28 @@ def long_form(df: DataFrame, table: str, measures: list[tuple[str, str, str, Col
     return row.select(F.inline(F.array(*cells)))
 
 
+def cell(table: str, check: str, subject: str, key: Column, value: Column) -> Column:
+    """One row of a fingerprint as a struct."""
+    names = (F.lit(table), F.lit(check), F.lit(subject), key.cast("string"), value)
+    return F.struct(*[c.alias(n) for c, n in zip(names, FINGERPRINT, strict=True)])
+
+
 def parent_profile(df: DataFrame, table: Table) -> list[DataFrame]:
-    """Rows and money per parent: the only measure that sees rows under a wrong parent."""
+    """Rows and money per parent: the only measure that sees rows under a wrong parent. The key of rows without one is NULL."""
     out = []
     for link in table.parents:
-        money = table.names("money")
         grouped = df.groupBy(F.col(link.column).alias("parent")).agg(
-            F.count(F.lit(1)).cast("string").alias("n"), *[exact_sum(c).cast("string").alias(f"s{i}") for i, c in enumerate(money)]
-        )
-        cells = [F.struct(F.lit(f"{link.column}: rows").alias("subject"), F.col("n").alias("value"))] + [
-            F.struct(F.lit(f"{link.column}: {c}").alias("subject"), F.col(f"s{i}").alias("value"))
-            for i, c in enumerate(money)
-        ]
-        key = F.coalesce(F.col("parent").cast("string"), F.lit(NULL_KEY))
-        out.append(
-            grouped.select(key.alias("key"), F.inline(F.array(*cells))).select(
-                F.lit(table.name).alias("table_name"), F.lit("parent_profile").alias("check_name"), "subject", "key", "value"
-            )
+            F.count(F.lit(1)).cast("string").alias("n"), *[exact_sum(c).cast("string").alias(f"s{i}") for i, c in enumerate(table.names("money"))]
         )
+        out.append(grouped.select(F.inline(F.array(*_parent_cells(table, link.column, F.col("parent"), F.col("n"), lambda i: F.col(f"s{i}"))))))
     return out
 
 
+def _parent_cells(table: Table, column: str, parent: Column, count: Column, money) -> list[Column]:
+    rows = [cell(table.name, "parent_profile", f"{column}: rows", parent, count)]
+    return rows + [cell(table.name, "parent_profile", f"{column}: {c}", parent, money(i)) for i, c in enumerate(table.names("money"))]
+
+
 def value_counts(df: DataFrame, table: str, check: str, column: str) -> DataFrame:
     """Distinct values byte for byte with their counts."""
     return (
@@ -92,27 +93,58 @@ def value_counts(df: DataFrame, table: str, check: str, column: str) -> DataFram
             F.lit(table).alias("table_name"),
             F.lit(check).alias("check_name"),
             F.lit(column).alias("subject"),
-            F.coalesce("v", F.lit(NULL_KEY)).alias("key"),
+            F.col("v").cast("string").alias("key"),
             "value",
         )
     )
 
 
 def unicode_sample(df: DataFrame, table: str, check: UnicodeCheck) -> DataFrame:
-    """The matching texts as a multiset: no order, so no collation can disturb it."""
+    """The matching texts, each with its number: no order, so no collation can disturb them."""
     hits = df.where(any_like(F.col(check.column), check.patterns))
     return value_counts(hits, table, "unicode_sample", check.column)
 
 
 def table_fingerprint(df: DataFrame, table: Table, contract: Contract) -> DataFrame:
+    """All measures of a table from one scan and one aggregate.
+
+    The rows are grouped four ways at once, as grouping sets: not at all, by each parent,
+    by the status and by the sampled text. Every task folds its rows before they move, so
+    what is shuffled are group totals. Rows outside the text sample make one group that is
+    dropped; the key of a NULL group is NULL. A row that does not count is added, because
+    without any row the empty set would make no group.
+    """
     case = contract.case_check if contract.case_check and contract.case_check.table == table.name else None
     uni = contract.unicode_check if contract.unicode_check and contract.unicode_check.table == table.name else None
-    parts = [long_form(df, table.name, scalar_measures(table, case)), *parent_profile(df, table)]
+    measures = scalar_measures(table, case, F.col("_real"))
+    groups = [(f"_p{i}", F.col(p.column)) for i, p in enumerate(table.parents)]
     if case:
-        parts.append(value_counts(df, table.name, "status_count", case.column))
+        groups.append(("_status", F.col(case.column)))
     if uni:
-        parts.append(unicode_sample(df, table.name, uni))
-    return reduce(DataFrame.unionByName, parts)
+        groups.append(("_text", F.when(any_like(F.col(uni.column), uni.patterns), F.col(uni.column))))
+    if not groups:
+        return long_form(df, table.name, scalar_measures(table, case))
+    one = df.sparkSession.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in df.dtypes], F.lit(False).alias("_real"))
+    df = df.withColumn("_real", F.lit(True)).unionByName(one)
+    names = [n for n, _ in groups]
+    money = {c: i for i, (check, c, _, _) in enumerate(measures) if check == "money_sum"}
+    counted = df.withColumns(dict(groups)).groupingSets([[], *[[F.col(n)] for n in names]], *names).agg(
+        *[m.alias(f"m{i}") for i, (_, _, _, m) in enumerate(measures)], F.grouping_id().alias("_set")
+    )
+    whole = F.array(*[cell(table.name, check, subject, F.lit(key), F.col(f"m{i}")) for i, (check, subject, key, _) in enumerate(measures)])
+    cells, last = F.when(F.col("_set") == 2 ** len(names) - 1, whole), len(names) - 1
+    for at, name in enumerate(names):
+        only = F.col("_set") == 2 ** len(names) - 1 - 2 ** (last - at)
+        if name == "_status":
+            found = [cell(table.name, "status_count", case.column, F.col(name), F.col("m0"))]
+        elif name == "_text":
+            only = only & F.col(name).isNotNull()
+            found = [cell(table.name, "unicode_sample", uni.column, F.col(name), F.col("m0"))]
+        else:
+            own = table.names("money")
+            found = _parent_cells(table, table.parents[at].column, F.col(name), F.col("m0"), lambda i, own=own: F.col(f"m{money[own[i]]}"))
+        cells = cells.when(only, F.array(*found))
+    return counted.where(f"_set = {2 ** len(names) - 1} OR m0 <> '0'").select(F.inline(cells))
 
 
 def fingerprint(frames: dict[str, DataFrame], contract: Contract) -> DataFrame:

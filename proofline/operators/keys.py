@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+from proofline.session import scratch
 
 
 def high_water(df: DataFrame, key: str) -> int:
@@ -13,25 +13,35 @@ def high_water(df: DataFrame, key: str) -> int:
     return int(df.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).first()[0])
 
 
-def allocate_keys(df: DataFrame, key: str, natural: list[str], above: int, buckets: int = BUCKETS) -> DataFrame:
-    """Number rows ``above + 1, above + 2, …`` without gaps.
+def allocate_keys(df: DataFrame, key: str, natural: list[str], above: int) -> DataFrame:
+    """Number rows ``above + 1, above + 2, …`` without gaps, in the order of their natural key (NULLs first).
 
-    Rows are spread by the hash of their natural key, numbered inside each bucket
-    and shifted by the sizes of the buckets before it. Only the ``buckets`` sizes
-    pass through one task. The same rows always get the same numbers, so a lost
-    executor cannot renumber what it recomputes. ``natural`` must be unique.
+    Rows are dealt by ranges of the natural key, as many as the session's shuffle
+    partitions, and written once, so that a repeated task cannot draw other borders. Each
+    range is numbered by itself and shifted by the sizes of the ranges before it; only
+    these sizes pass through one task. Reading a natural key that occurs twice raises.
     """
-    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(*natural), F.lit(buckets)).cast("int"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural))
-    return (
-        spread.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), "_bucket")  # at most `buckets` rows
-        .withColumn(key, (F.lit(above) + F.col("_offset") + F.col("_inside")).cast("bigint"))
-        .drop("_bucket", "_inside", "_offset")
-    )
+    spark = df.sparkSession
+    if "_range" in df.columns or key in df.columns:
+        raise ValueError(f"the rows have a column _range or {key} already")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch(spark, "numbered")
+    df.repartitionByRange(parts, *natural).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.schema(f"{_ddl(df)}, _range int").parquet(path)
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(*natural)
+    name = F.struct(*natural)
+    # equal keys lie in one range, so neighbours tell
+    again = name.eqNullSafe(F.lag(name).over(inside)) & (F.row_number().over(inside) > 1)
+    number = F.when(again, F.raise_error(F.lit(f"the natural key {', '.join(natural)} is not unique")).cast("bigint")).otherwise(F.row_number().over(inside))
+    numbered = dealt.withColumn("_inside", number).join(F.broadcast(offsets), "_range")  # at most `parts` rows
+    return numbered.withColumn(key, (F.lit(above) + F.col("_offset") + F.col("_inside")).cast("bigint")).drop("_range", "_inside", "_offset")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
 
 
 def next_key_status(df: DataFrame, table: str, key: str, next_key: int) -> DataFrame:

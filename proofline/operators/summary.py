@@ -58,6 +58,47 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
+# The parts of a summary that add up, and how a row of transactions contributes to them.
+ADDED = {"txn_count": "bigint", "gross_amount": "decimal(38,4)", "total_fees": "decimal(38,4)", "net_amount": "decimal(38,4)"}
+
+
+def contributions(images: DataFrame, match: str = "folded") -> DataFrame:
+    """Signed parts of the summary per day and merchant from row images with ``sign`` (1 in, -1 out).
+
+    An update is its old image out and its new image in, so a row that moves to another day,
+    merchant or status leaves one group and joins another.
+    """
+    rows = images.where(F.col("captured_at").isNotNull() & matches(F.col("txn_status"), CAPTURED, match))
+    fee, sign = F.coalesce("fee_amount", F.lit(0).cast(MONEY)), F.col("sign")
+    return rows.groupBy(F.to_date("captured_at").alias("summary_date"), "merchant_id").agg(
+        F.sum(sign).cast("bigint").alias("txn_count"),
+        F.sum(F.col("amount") * sign).cast("decimal(38,4)").alias("gross_amount"),
+        F.sum(fee * sign).cast("decimal(38,4)").alias("total_fees"),
+        F.sum((F.col("amount") - fee) * sign).cast("decimal(38,4)").alias("net_amount"),
+    )
+
+
+def images_of(changes: DataFrame) -> DataFrame:
+    """Signed row images of a change log whose rows hold the structs ``old`` and ``new``, NULL where there is none."""
+    out = changes.where("old is not null").select("old.*", F.lit(-1).alias("sign"))
+    return out.unionByName(changes.where("new is not null").select("new.*", F.lit(1).alias("sign")))
+
+
+def maintain(summary: DataFrame, changes: DataFrame, match: str = "folded") -> DataFrame:
+    """The summary after the changes (old, new), without reading a transaction.
+
+    ``summary`` has KEYS and the columns of ADDED over all of history. Changes fold to one
+    signed row per day and merchant before they meet it; groups without rows go, groups that
+    the changes do not touch stay as they are. Raises where a group's count falls below zero:
+    the log and the summary do not belong together then.
+    """
+    signed = contributions(images_of(changes), match)
+    both = summary.select(*KEYS, *[F.col(c).cast(t).alias(c) for c, t in ADDED.items()]).unionByName(signed)
+    merged = both.groupBy(*KEYS).agg(*[F.sum(c).cast(t).alias(c) for c, t in ADDED.items()])
+    checked = F.when(F.col("txn_count") < 0, F.raise_error(F.lit("the changes take out more rows than the summary has")).cast("bigint"))
+    return merged.withColumn("txn_count", checked.otherwise(F.col("txn_count"))).where("txn_count > 0")
+
+
 class RunLog:
     """Append-only job history, written outside the job's own output.
 

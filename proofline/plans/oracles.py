@@ -60,11 +60,17 @@ WITH = f"""WITH merchants AS ({pay.select_sql(pay.MERCHANT_COLUMNS, 'customer')}
  transactions AS ({pay.select_sql(pay.TRANSACTION_COLUMNS, 'orders')}),
  migrated AS ({pay.select_sql(pay.MIGRATED_COLUMNS, 'orders', pay.PLANTED_FILTER)}),
  changes AS ({pay.select_sql(pay.CHANGE_COLUMNS, 'events')}),
- accounts AS ({pay.select_sql(pay.ACCOUNT_COLUMNS, 'customer', pay.ACCOUNT_FILTER)}),
+ accounts AS ({pay.select_sql(pay.ACCOUNT_COLUMNS, 'customer')}),
  raw_merchants AS ({pay.select_sql(pay.RAW_MERCHANT_COLUMNS, 'merchants')}),
  raw_transactions AS ({pay.select_sql(pay.RAW_TRANSACTION_COLUMNS, 'transactions')}),
  batches AS ({BATCHES}),
  settlements AS ({SETTLEMENTS}),
+ numbered AS (SELECT row_number() OVER (ORDER BY merchant_id, batch_date) AS batch_id, * FROM batches),
+ numbered_gone AS (SELECT * FROM numbered WHERE {pay.BATCH_FILTER}),
+ paid AS (SELECT row_number() OVER (ORDER BY batch_id) AS settlement_id, batch_id, s.net_amount, s.fee_amount,
+          CAST(s.net_amount + s.fee_amount AS DECIMAL(19,4)) AS gross_amount, s.settled_at
+          FROM settlements s JOIN numbered USING (merchant_id, batch_date)),
+ misread AS (SELECT * REPLACE ({pay.MISREAD_NAME} AS legal_name) FROM merchants),
  judged AS ({JUDGED}),
  verdicts AS ({VERDICTS})
 """
@@ -90,7 +96,7 @@ def print_sql(table: Table, cte: str, case: CaseCheck | None = None, uni: Unicod
     parts.append(line("max_key", table.key, "''", f"MAX({table.key})"))
     for link in table.parents:
         fk = link.column
-        key, tail = f"COALESCE(CAST({fk} AS VARCHAR), '<null>')", f"GROUP BY {fk}"
+        key, tail = f"CAST({fk} AS VARCHAR)", f"GROUP BY {fk}"
         parts.append(line("parent_profile", f"{fk}: rows", key, "COUNT(*)", tail))
         parts += [line("parent_profile", f"{fk}: {c}", key, f"CAST(SUM({c}) AS {D38})", tail) for c in table.names("money")]
     if case:
@@ -109,6 +115,11 @@ CASE, UNI = pay.PAYMENTS.case_check, pay.PAYMENTS.unicode_check
 PRINT_M = print_sql(pay.MERCHANTS, "merchants", uni=UNI)
 PRINT_T = print_sql(pay.TRANSACTIONS, "transactions", CASE)
 PRINT_G = print_sql(pay.TRANSACTIONS, "migrated", CASE)
+PRINT_B = print_sql(pay.BATCHES, "numbered")
+PRINT_P = print_sql(pay.SETTLEMENTS, "paid")
+PRINT_ALL = f"{PRINT_M} UNION ALL {PRINT_T} UNION ALL {PRINT_B} UNION ALL {PRINT_P}"
+PRINT_R = print_sql(pay.MERCHANTS, "misread", uni=UNI)
+PRINT_L = print_sql(pay.BATCHES, "numbered_gone")
 BOTH = f"""
  , s AS ({PRINT_T}), t AS ({PRINT_G}), compared AS (
   SELECT table_name, check_name, subject, key, s.value AS source_value, t.value AS target_value,
@@ -119,22 +130,32 @@ COMPARED_SQL = ", ".join(f"'{c}'" for c in COMPARED)
 CLASS_SQL = "CASE check_name " + " ".join(f"WHEN '{c}' THEN {n}" for c, n in CLASSES.items()) + " END"
 RESPONSE_SQL = f"CASE {CLASS_SQL} " + " ".join(f"WHEN {n} THEN '{r}'" for n, r in RESPONSES.items()) + " END"
 
+ORPHANS_B = "SELECT COUNT(*) FROM numbered_gone b LEFT JOIN merchants m ON m.merchant_id = b.merchant_id WHERE m.merchant_id IS NULL"
+ORPHANS_S = "SELECT COUNT(*) FROM paid s LEFT JOIN numbered_gone b ON b.batch_id = s.batch_id WHERE b.batch_id IS NULL"
+MISREAD = """SELECT CAST(m.merchant_id AS VARCHAR) AS k, m.legal_name AS a, r.legal_name AS b
+  FROM merchants m JOIN misread r ON r.merchant_id = m.merchant_id AND r.legal_name <> m.legal_name"""
 ORPHANS_T = "SELECT COUNT(*) FROM migrated t LEFT JOIN merchants m ON m.merchant_id = t.merchant_id WHERE m.merchant_id IS NULL"
 CHECKS = f"""
- , s AS ({PRINT_T} UNION ALL {PRINT_M}), t AS ({PRINT_G} UNION ALL {PRINT_M}), compared AS (
+ , s AS ({PRINT_T} UNION ALL {PRINT_R} UNION ALL {PRINT_B} UNION ALL {PRINT_P}),
+ t AS ({PRINT_G} UNION ALL {PRINT_R} UNION ALL {PRINT_L} UNION ALL {PRINT_P}), compared AS (
   SELECT table_name, check_name, subject, key, s.value AS source_value, t.value AS target_value,
          s.value IS NOT DISTINCT FROM t.value AS passed
   FROM s FULL JOIN t USING (table_name, check_name, subject, key)),
  found AS (
   SELECT table_name, check_name, subject, key, source_value, target_value, passed FROM compared WHERE check_name IN ({COMPARED_SQL})
   UNION ALL SELECT 'transactions', 'orphans', 'transactions.merchant_id without merchants', '', NULL, CAST(n AS VARCHAR), n = 0 FROM ({ORPHANS_T}) x(n)
+  UNION ALL SELECT 'batches', 'orphans', 'batches.merchant_id without merchants', '', NULL, CAST(n AS VARCHAR), n = 0 FROM ({ORPHANS_B}) x(n)
+  UNION ALL SELECT 'settlements', 'orphans', 'settlements.batch_id without batches', '', NULL, CAST(n AS VARCHAR), n = 0 FROM ({ORPHANS_S}) x(n)
+  UNION ALL SELECT 'settlements', 'generated', 'gross_amount', k, NULL, '0', TRUE FROM (VALUES ('null'), ('wrong')) x(k)
+  UNION ALL SELECT 'merchants', 'anchor', 'legal_name', k, a, b, FALSE FROM ({MISREAD})
+  UNION ALL SELECT 'merchants', 'anchor', 'legal_name: rows that differ', '', '0', CAST(COUNT(*) AS VARCHAR), TRUE FROM ({MISREAD}) HAVING COUNT(*) = 0
   UNION ALL SELECT 'transactions', 'next_key', 'txn_id', '', '{q.NEXT_KEY}', CAST(MAX(txn_id) AS VARCHAR), MAX(txn_id) < {q.NEXT_KEY} FROM migrated
   UNION ALL SELECT 'transactions', 'match_count', 'txn_status', key, source_value, target_value, passed FROM compared WHERE check_name = 'match_count'
   UNION ALL SELECT 'transactions', 'match_count', 'txn_status', 'lost', CAST(f AS VARCHAR), CAST(f - e AS VARCHAR), f > e FROM (
      SELECT (SELECT COUNT(*) FROM transactions WHERE {FOLDED}) AS f, (SELECT COUNT(*) FROM migrated WHERE txn_status = 'Captured') AS e)
   UNION ALL SELECT 'transactions', 'case_variant', 'txn_status', v, NULL, CAST(n AS VARCHAR), n > 0 FROM (
      SELECT v, (SELECT COUNT(*) FROM migrated WHERE txn_status = v) AS n FROM (VALUES ('Captured'), ('captured'), ('CAPTURED')) x(v))
-  UNION ALL SELECT 'merchants', 'unicode_sample', 'legal_name: present', '', CAST(COUNT(*) AS VARCHAR), NULL, COUNT(*) > 0 FROM merchants
+  UNION ALL SELECT 'merchants', 'unicode_sample', 'legal_name: present', '', CAST(COUNT(*) AS VARCHAR), NULL, COUNT(*) > 0 FROM misread
      WHERE legal_name LIKE '%北方%' OR legal_name LIKE '%Трейд%' OR legal_name LIKE '%Móvil%'),
  classed AS (SELECT check_name, CAST({CLASS_SQL} AS INT) AS failure_class, table_name, subject, key, source_value, target_value, passed,
                     {RESPONSE_SQL} AS response FROM found)
@@ -142,8 +163,7 @@ CHECKS = f"""
 
 
 def measured(check: str, value: str) -> str:
-    rows = f"{PRINT_T} UNION ALL {PRINT_M}"
-    return WITH + f"SELECT table_name, subject, {value} FROM ({rows}) WHERE check_name = '{check}'"
+    return WITH + f"SELECT table_name, subject, {value} FROM ({PRINT_ALL}) WHERE check_name = '{check}'"
 
 
 # -- rows --------------------------------------------------------------------
@@ -228,6 +248,57 @@ COVERAGE = """SELECT table_name FROM (VALUES ('merchants'), ('transactions'), ('
  WHERE table_name NOT IN (SELECT CASE WHEN k % 2 = 0 THEN 'merchants' ELSE 'transactions' END FROM changes)"""
 
 
+COPIED = [n for n in pay.MERCHANTS.names() if n != "merchant_guid"]
+COPY_CHANGED = " || ".join(f"CASE WHEN s.{n} IS DISTINCT FROM t.{n} THEN ',{n}' ELSE '' END" for n in COPIED)
+TREE_DIFF = WITH + f"""
+ , t AS (SELECT * REPLACE (lower(merchant_guid) AS merchant_guid) FROM ({pay.select_sql(pay.COPIED_MERCHANT_COLUMNS, 'merchants', pay.COPIED_MERCHANT_FILTER)}))
+ SELECT 'merchants' AS table_name, COALESCE(s.merchant_guid, t.merchant_guid) AS row_key,
+        CASE WHEN t.merchant_guid IS NULL THEN 'missing_in_target' ELSE 'changed' END AS status,
+        CASE WHEN t.merchant_guid IS NOT NULL THEN substr({COPY_CHANGED}, 2) END AS columns,
+        CAST(1 AS BIGINT) AS only_source, CASE WHEN t.merchant_guid IS NULL THEN 0 ELSE 1 END::BIGINT AS only_target
+ FROM merchants s LEFT JOIN t ON s.merchant_guid = t.merchant_guid
+ WHERE t.merchant_guid IS NULL OR ({COPY_CHANGED}) <> ''"""
+
+
+def row_hash_sql(table: Table, cte: str) -> str:
+    """The key and the row digest of the sampled rows of one side."""
+    texts = [f"CAST({'rtrim(' + c.name + ')' if c.type == 'char' else 'lower(' + c.name + ')' if c.type == 'uuid' else c.name} AS VARCHAR)" for c in table.columns]
+    key = f"CAST({table.key} AS VARCHAR)"
+    row = " || '|' || ".join(f"COALESCE(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts)
+    return f"SELECT {key} AS row_key, sha256({row}) AS h FROM {cte} WHERE CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % {q.SAMPLE_EVERY} = 0"
+
+
+HASH_SAMPLE = WITH + f"""
+ , s AS ({row_hash_sql(pay.TRANSACTIONS, 'transactions')}), t AS ({row_hash_sql(pay.TRANSACTIONS, 'migrated')})
+ SELECT 'transactions' AS table_name, row_key, s.h AS source_hash, t.h AS target_hash, s.h IS NOT DISTINCT FROM t.h AS same
+ FROM s FULL JOIN t USING (row_key)"""
+
+MOMENTS = ", ".join(f"({m})" for m in q.MOMENTS)
+AS_OF_MANY = WITH + f"""
+ , moments AS (SELECT CAST(col0 AS BIGINT) AS at_seq FROM (VALUES {MOMENTS})),
+ known AS (SELECT k, seq, FALSE AS gone, amount FROM accounts UNION ALL
+           SELECT k, seq, op = 'D', CASE WHEN op <> 'D' THEN amount END FROM verdicts WHERE verdict = 'applied'),
+ held AS (SELECT *, row_number() OVER (PARTITION BY at_seq, k ORDER BY seq DESC) AS n FROM moments JOIN known ON seq <= at_seq)
+ SELECT at_seq, k, amount, seq FROM held WHERE n = 1 AND NOT gone"""
+
+FEED = f"""
+ , edges AS (SELECT min(commit_ts) AS lo, (epoch_us(max(commit_ts)) - epoch_us(min(commit_ts))) // {q.FEED_PARTS} + 1 AS width FROM changes),
+ feed AS (SELECT c.*, (epoch_us(commit_ts) - epoch_us(lo)) // width AS part FROM changes c, edges)"""
+CONFIRMED = WITH + FEED + "".join(f"""
+ {'UNION ALL' if n else ', final AS (SELECT least(max(commit_ts) FILTER (WHERE op = \'D\'), max(commit_ts) FILTER (WHERE op = \'I\')) AS t FROM changes)'}
+ SELECT k, commit_ts AS seen_at, '{state}' AS state FROM changes m, final WHERE op = 'D'
+   AND commit_ts + INTERVAL '{seconds}' SECOND + INTERVAL '10' MINUTE < t
+   AND NOT EXISTS (SELECT 1 FROM changes e WHERE e.op = 'I' AND e.k = m.k AND e.commit_ts >= m.commit_ts AND e.commit_ts <= m.commit_ts + INTERVAL '{seconds}' SECOND)"""
+    for n, (state, seconds) in enumerate((("confirmed", q.pending.REPORT_AFTER), ("suspended", q.pending.SUSPEND_AFTER))))
+STATUS = WITH + FEED + """
+ SELECT CAST(part AS BIGINT) AS batch_id, COUNT(*) AS changes, COUNT(*) FILTER (WHERE op = 'I') AS inserts, COUNT(*) FILTER (WHERE op = 'U') AS updates,
+  COUNT(*) FILTER (WHERE op = 'D') AS deletes, MAX(seq) AS last_seq, MAX(commit_ts) AS last_commit FROM feed GROUP BY part"""
+
+INCREMENTAL = WITH + f"""
+ SELECT CAST(captured_at AS DATE) AS summary_date, merchant_id, {TOTALS} FROM migrated WHERE {FOLDED}
+ GROUP BY CAST(captured_at AS DATE), merchant_id"""
+
+
 def sql() -> dict[str, str]:
     upsert_old, upsert_new = summary("txn_status = 'Captured'", 2 * q.SUMMARY_DAYS), summary(FOLDED, q.SUMMARY_DAYS)
     return {
@@ -237,7 +308,7 @@ def sql() -> dict[str, str]:
         "null_counts": measured("null_count", "CAST(value AS BIGINT) AS null_rows"),
         "key_high_water": measured("max_key", "CAST(value AS BIGINT) AS max_key"),
         "next_key_collision": WITH + f"SELECT 'transactions' AS table_name, MAX(txn_id) AS max_key, CAST({q.NEXT_KEY} AS BIGINT) AS next_key, MAX(txn_id) >= {q.NEXT_KEY} AS collides FROM transactions",
-        "parent_profile": WITH + f"SELECT * FROM ({PRINT_T}) WHERE check_name = 'parent_profile'",
+        "parent_profile": WITH + f"SELECT * FROM ({PRINT_ALL}) WHERE check_name = 'parent_profile'",
         "status_counts": WITH + "SELECT txn_status, COUNT(*) AS txn_count FROM transactions GROUP BY txn_status",
         "match_loss": WITH + f"""SELECT 'Captured' AS value, f AS folded_rows, e AS exact_rows, f - e AS lost_rows,
  CAST(CAST(f - e AS DECIMAL(20,0)) * 100 / f AS DECIMAL(7,4)) AS lost_percent
@@ -246,8 +317,8 @@ def sql() -> dict[str, str]:
  JOIN (SELECT folded, COUNT(*) AS spellings, CAST(SUM(spelling_rows) AS BIGINT) AS folded_rows FROM ({SPELLED}) GROUP BY folded) t ON s.folded = t.folded""",
         "unicode_sample": "SELECT sha256(text) AS text_sha256, CAST(length(text) AS BIGINT) AS chars, COUNT(*) AS copies FROM documents WHERE "
         + " OR ".join(f"text LIKE '{p}'" for p in q.TEXT_PATTERNS) + " GROUP BY text",
-        "fingerprint": WITH + f"{PRINT_M} UNION ALL {PRINT_T}",
-        "fingerprint_json": WITH + PRINT_M,
+        "fingerprint": WITH + PRINT_ALL,
+        "fingerprint_json": WITH + PRINT_ALL,
         "settlement_range": RANGE_SQL,
         "clustered_range": RANGE_SQL,
         "daily_settlement_exact": daily("t.txn_status = 'Captured'"),
@@ -271,7 +342,14 @@ def sql() -> dict[str, str]:
  FROM settlements s JOIN batches b ON b.merchant_id = s.merchant_id AND b.batch_date = s.batch_date""",
         "generated_check": WITH + """SELECT 'generated' AS check_name, 2 AS failure_class, 'gross_amount' AS subject, key, n AS rows, n = 0 AS passed FROM (
  SELECT 'null' AS key, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'wrong', COUNT(*) FROM settlements WHERE merchant_id % 50 = 3)""",
-        "allocate_batch_keys": WITH + "SELECT COUNT(*) AS rows, COUNT(*) AS keys, CAST(1 AS BIGINT) AS first, COUNT(*) AS last FROM batches",
+        "allocate_batch_keys": WITH + "SELECT merchant_id, batch_date, batch_id + (SELECT MAX(merchant_id) FROM merchants) AS batch_id FROM numbered",
+        "confirmed_mismatches": CONFIRMED,
+        "stream_status": STATUS,
+        "row_diff_bucketed": ROW_DIFF,
+        "hash_tree_diff": TREE_DIFF,
+        "row_hash_sample": HASH_SAMPLE,
+        "as_of_many": AS_OF_MANY,
+        "summary_incremental": INCREMENTAL,
         "reconcile_orphans": WITH + """SELECT 'transactions.merchant_id without merchants' AS check_name, COUNT(*) AS orphan_count FROM migrated t
    LEFT JOIN (SELECT merchant_id FROM merchants WHERE merchant_id % 100 <> 1) m ON m.merchant_id = t.merchant_id WHERE m.merchant_id IS NULL
  UNION ALL SELECT 'batches.merchant_id without merchants', COUNT(*) FROM (SELECT * FROM batches WHERE merchant_id % 101 <> 3) b

@@ -122,21 +122,22 @@ TRANSACTION_COLUMNS = {
     ),
 }
 
+NEW_KEYS = 1_000_000_000_000
 CHANGE_COLUMNS = {
-    "k": "user_id",
+    # every second key of the log has no account, so inserts and updates of both kinds meet their conflicts
+    "k": f"CASE WHEN user_id % 2 = 0 THEN user_id ELSE user_id + {NEW_KEYS} END",
     "seq": "event_id",
     "commit_ts": "CAST(ts AS TIMESTAMP)",
     "op": "CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END",
     "amount": "CAST(value AS DECIMAL(19,4))",
 }
 
-# The rows the change log starts from: every second customer has an account.
+# The rows the change log starts from.
 ACCOUNT_COLUMNS = {
     "k": "c_custkey",
     "amount": "CAST(c_acctbal AS DECIMAL(19,4))",
     "seq": "CAST(-1 AS BIGINT)",
 }
-ACCOUNT_FILTER = "c_custkey % 2 = 0"
 
 # Planted differences between the original transactions and a migrated copy.
 PLANTED_COLUMNS = {
@@ -151,6 +152,19 @@ MIGRATED_COLUMNS = {
     for n, e in TRANSACTION_COLUMNS.items()
 }
 
+# Names as a wrong encoding reads them, and the batches a copy has.
+MISREAD_NAME = "CASE WHEN merchant_id % 40 = 0 THEN replace(legal_name, '北方物流', 'σîùµû╣τë⌐µ╡ü') ELSE legal_name END"
+BATCH_FILTER = "merchant_id % 101 <> 3"
+
+# A copy of the merchants: identifiers in capitals, some names changed, some rows missing.
+COPIED_MERCHANT_COLUMNS = {
+    **{n: n for n in MERCHANT_COLUMNS},
+    "merchant_guid": "upper(merchant_guid)",
+    "legal_name": "CASE WHEN merchant_id % 89 = 5 THEN legal_name || ' ' WHEN merchant_id % 89 = 6 THEN substr(legal_name, 1, 9) ELSE legal_name END",
+    "dba_name": "CASE WHEN merchant_id % 97 = 8 THEN NULL ELSE dba_name END",
+}
+COPIED_MERCHANT_FILTER = "merchant_id % 83 <> 7"
+
 # The derived tables as text, the way a file brings them, with values that do not conform.
 RAW_MERCHANT_COLUMNS = {
     "merchant_id": "CAST(merchant_id AS STRING)",
@@ -219,9 +233,13 @@ def migrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").where(PLANTED_FILTER).selectExpr(*select_list(MIGRATED_COLUMNS))
 
 
+def copied_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merchants(spark, sf_dir).where(COPIED_MERCHANT_FILTER).selectExpr(*select_list(COPIED_MERCHANT_COLUMNS))
+
+
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").selectExpr(*select_list(CHANGE_COLUMNS))
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "customer").where(ACCOUNT_FILTER).selectExpr(*select_list(ACCOUNT_COLUMNS))
+    return read(spark, sf_dir, "customer").selectExpr(*select_list(ACCOUNT_COLUMNS))

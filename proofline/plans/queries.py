@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 from functools import reduce
@@ -14,14 +15,14 @@ from pyspark.sql import types as T
 from proofline.contract import Contract
 from proofline.functions import conform as C
 from proofline.functions import naming, predicates as P
-from proofline.operators import checks, compare, keys, orphans, settle, summary
+from proofline.operators import checks, compare, hash_tree, keys, orphans, settle, summary
 from proofline.operators import fingerprint as fp
 from proofline.operators.projections import assert_published, project, publish
 from proofline.plans import payments as pay
 from proofline.plans import sql_functions
 from proofline.session import prepare, scratch
 from proofline.sources import delimited, export, tables
-from proofline.streaming import apply, cutover, history, pending
+from proofline.streaming import apply, cutover, feed, history, moments, pending
 from proofline.streaming.replica import Replica
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,11 @@ NEXT_KEY = 10_001
 ZONE = "America/New_York"
 TEXT_PATTERNS = ("%é%", "%ñ%", "%ü%")
 KEY_BLOCK = 10_000
+SAMPLE_EVERY = 16
+FEED_PARTS = 5
+COPY_BUCKETS = 8
+MARKED_KEY = 2 * pay.NEW_KEYS
+MOMENTS = (0, 5, 250, 999, 1000, 2500, 6000, 6001, 90_000, 10_000_000)
 ERROR_LIMIT = 100
 MAX_LAG = 3.0
 SEEN_AT = datetime(2024, 1, 1, 12, 0)
@@ -58,13 +64,25 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def four_tables(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every table of the contract, parents first; batches and settlements come from the original transactions."""
+    made = numbered_batches(spark, sf_dir)
+    paid = C.add_generated(settle.derive_settlements(made, ["batch_id"]), pay.SETTLEMENTS)
+    return {
+        "merchants": pay.merchants(spark, sf_dir),
+        "transactions": pay.transactions(spark, sf_dir) if rows is None else rows,
+        "batches": made,
+        "settlements": keys.allocate_keys(paid, "settlement_id", ["batch_id"], above=0),
+    }
+
+
 def measured(spark: SparkSession, sf_dir: str, check: str) -> DataFrame:
-    """One check of the fingerprint over merchants and transactions, reading only its columns."""
+    """One check of the fingerprint over all four tables, reading only its columns."""
     parts = []
-    for table, df in ((pay.MERCHANTS, pay.merchants(spark, sf_dir)), (pay.TRANSACTIONS, pay.transactions(spark, sf_dir))):
-        wanted = [m for m in fp.scalar_measures(table, None) if m[0] == check]
+    for name, df in four_tables(spark, sf_dir).items():
+        wanted = [m for m in fp.scalar_measures(pay.PAYMENTS.table(name), None) if m[0] == check]
         if wanted:
-            parts.append(fp.long_form(df, table.name, wanted))
+            parts.append(fp.long_form(df, name, wanted))
     return union(parts)
 
 
@@ -118,7 +136,9 @@ def next_key_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parent_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union(fp.parent_profile(pay.transactions(spark, sf_dir), pay.TRANSACTIONS))
+    """Rows and money per parent over all three edges."""
+    frames = four_tables(spark, sf_dir)
+    return union([part for name, df in frames.items() for part in fp.parent_profile(df, pay.PAYMENTS.table(name))])
 
 
 @query
@@ -148,12 +168,12 @@ def unicode_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fp.fingerprint({"merchants": pay.merchants(spark, sf_dir), "transactions": pay.transactions(spark, sf_dir)}, pay.PAYMENTS)
+    return fp.fingerprint(four_tables(spark, sf_dir), pay.PAYMENTS)
 
 
 @query
 def fingerprint_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written_fingerprint(spark, {"merchants": pay.merchants(spark, sf_dir)}, pay.PAYMENTS)
+    return written_fingerprint(spark, four_tables(spark, sf_dir), pay.PAYMENTS)
 
 
 def written_fingerprint(spark: SparkSession, frames: dict[str, DataFrame], contract: Contract) -> DataFrame:
@@ -253,6 +273,19 @@ def summary_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole summary, led from the original transactions to the damaged copy by the changes between them alone."""
+    before, after = pay.transactions(spark, sf_dir), pay.migrated(spark, sf_dir)
+    names = pay.TRANSACTIONS.names()
+    image = lambda df, name: df.select("txn_id", F.struct(*names).alias(name))
+    log = image(before, "old").join(image(after, "new"), "txn_id", "full_outer").where(~F.col("old").eqNullSafe(F.col("new")))
+    start = before.where(P.matches(F.col("txn_status"), settle.CAPTURED, "folded")).groupBy(
+        F.to_date("captured_at").alias("summary_date"), "merchant_id"
+    ).agg(*settle.totals())
+    return summary.maintain(start, log)
+
+
 @query
 def summary_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A failed run leaves its line, the error goes on to the caller, and the next run succeeds."""
@@ -303,13 +336,9 @@ def generated_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def allocate_batch_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New keys above the high-water mark: dense, unique, none reused."""
+    """New keys above the high-water mark, in the order of merchant and day: dense, none reused."""
     above = keys.high_water(pay.merchants(spark, sf_dir), "merchant_id")
-    made = keys.allocate_keys(batches(spark, sf_dir), "batch_id", ["merchant_id", "batch_date"], above)
-    return made.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("batch_id").alias("keys"),
-        (F.min("batch_id") - above).alias("first"), (F.max("batch_id") - above).alias("last"),
-    )
+    return keys.allocate_keys(batches(spark, sf_dir).select("merchant_id", "batch_date"), "batch_id", ["merchant_id", "batch_date"], above)
 
 
 # -- comparing copies ----------------------------------------------------------
@@ -346,6 +375,33 @@ def row_diff_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.narrowed_row_diff(pay.transactions(spark, sf_dir), pay.migrated(spark, sf_dir), pay.TRANSACTIONS, KEY_BLOCK)
 
 
+@query
+def hash_tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchants by their identifier against a copy, through written trees of digests."""
+    table = replace(pay.MERCHANTS, key="merchant_guid")
+    frames = pay.merchants(spark, sf_dir), pay.copied_merchants(spark, sf_dir)
+    trees = []
+    for df in frames:
+        path = scratch(spark, "tree")
+        hash_tree.write_tree(hash_tree.tree(df, table), path)
+        trees.append(hash_tree.read_tree(spark, path))
+    return hash_tree.hash_tree_diff(*frames, table, *trees)
+
+
+@query
+def row_diff_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row compare over copies stored in buckets of the key: no row moves when they meet."""
+    stored = []
+    for df in (pay.transactions(spark, sf_dir), pay.migrated(spark, sf_dir)):
+        stored.append(compare.store_bucketed(df, pay.TRANSACTIONS, "copy_" + scratch(spark, "t").rsplit("-", 1)[-1], COPY_BUCKETS))
+    return compare.bucketed_row_diff(*stored, pay.TRANSACTIONS)
+
+
+@query
+def row_hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.row_hash_sample(pay.transactions(spark, sf_dir), pay.migrated(spark, sf_dir), pay.TRANSACTIONS, SAMPLE_EVERY)
+
+
 @query
 def key_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.key_set_diff(pay.transactions(spark, sf_dir), pay.migrated(spark, sf_dir), "txn_id")
@@ -382,13 +438,21 @@ def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = pay.merchants(spark, sf_dir)
-    source = {"merchants": names, "transactions": pay.transactions(spark, sf_dir)}
-    target = {"merchants": names, "transactions": pay.migrated(spark, sf_dir)}
+    """All checks over the four tables of both sides.
+
+    Both sides hold names that were misread from the original file, so only the anchor sees
+    them; the copy's transactions have the planted differences and some of its batches are missing.
+    """
+    source = four_tables(spark, sf_dir)
+    path = scratch(spark, "original")
+    write_delimited(source["merchants"].withColumn("is_active", F.col("is_active").cast("int")), path)
+    original = C.accepted(C.conform(delimited.read_delimited(spark, path, pay.MERCHANTS), pay.MERCHANTS))
+    source["merchants"] = source["merchants"].withColumn("legal_name", F.expr(pay.MISREAD_NAME))
+    target = {**source, "transactions": pay.migrated(spark, sf_dir), "batches": source["batches"].where(pay.BATCH_FILTER)}
     return checks.verify(
         pay.PAYMENTS, source, target,
         written_fingerprint(spark, source, pay.PAYMENTS), written_fingerprint(spark, target, pay.PAYMENTS),
-        original=names, next_keys={"transactions": NEXT_KEY},
+        original=original, next_keys={"transactions": NEXT_KEY},
     )
 
 
@@ -654,6 +718,12 @@ def as_of_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.as_of(pay.accounts(spark, sf_dir), pay.changes(spark, sf_dir), ["k"], ["amount"], AS_OF_SEQ)
 
 
+@query
+def as_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accounts at ten positions of the log, from one pass over it."""
+    return moments.as_of_many(pay.accounts(spark, sf_dir), pay.changes(spark, sf_dir), ["k"], ["amount"], list(MOMENTS), block=KEY_BLOCK)
+
+
 @query
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.table_stats(applied(spark, sf_dir).judged)
@@ -709,6 +779,36 @@ def pending_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending.confirm(first, differs, SEEN_AT, ["k"])
 
 
+def written_stream(stream: DataFrame, path: str):
+    """The finished run of a stream that appends to a table."""
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint")
+    run = writer.trigger(availableNow=True).start()
+    run.awaitTermination()
+    return run
+
+
+@query
+def confirmed_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes stand for rows found different, inserts for rows found equal again; the log runs as a stream in several batches."""
+    found = []
+    for state, after in (("confirmed", pending.REPORT_AFTER), ("suspended", pending.SUSPEND_AFTER)):
+        path = scratch(spark, "confirmed")
+        log = feed.replay(pay.changes(spark, sf_dir), f"{path}/log", FEED_PARTS)
+        wrong = log.where("op = 'D'").select("k", F.col("commit_ts").alias("seen_at"))
+        right = log.where("op = 'I'").select("k", F.col("commit_ts").alias("matched_at"))
+        written_stream(pending.unresolved(wrong, right, ["k"], after), path)
+        found.append(spark.read.schema("k long, seen_at timestamp").parquet(f"{path}/rows").withColumn("state", F.lit(state)))
+    return union(found)
+
+
+@query
+def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream said about each of its batches while it ran."""
+    path = scratch(spark, "status")
+    run = written_stream(feed.watched(feed.replay(pay.changes(spark, sf_dir), f"{path}/log", FEED_PARTS)), path)
+    return feed.status(spark, run)
+
+
 @query
 def cutover_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = fp.fingerprint({"transactions": pay.transactions(spark, sf_dir)}, pay.PAYMENTS)
@@ -721,11 +821,11 @@ def arrival_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A marked row with four decimals, written after the load, found in the state."""
     log = pay.changes(spark, sf_dir)
     mark = Decimal("4321.4321")
-    marked = log.agg((F.max("k") + 1_000_001).alias("k"), (F.max("seq") + 1).alias("seq"), F.max("commit_ts").alias("commit_ts")).select(
+    marked = log.agg(F.lit(MARKED_KEY).alias("k"), (F.max("seq") + 1).alias("seq"), F.max("commit_ts").alias("commit_ts")).select(
         "k", "seq", "commit_ts", F.lit("I").alias("op"), F.lit(mark).cast("decimal(19,4)").alias("amount")
     )
     state = apply.apply_changes(pay.accounts(spark, sf_dir), log.unionByName(marked), ["k"], ["amount"], block=KEY_BLOCK).state
-    newest = state.where(F.col("k") > 1_000_000)
+    newest = state.where(F.col("k") == MARKED_KEY)
     return cutover.prove_arrival(newest, {}, {"amount": mark})
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from proofline.sources.tables import VersionedTable
 
 REPORT_AFTER = 300  # seconds
 SUSPEND_AFTER = 1800
+LATENESS = "10 minutes"
 
 
 def confirm(
@@ -33,6 +35,23 @@ def confirm(
     return seen.select(*keys, first.alias("first_seen"), state.alias("state"))
 
 
+def unresolved(mismatches: DataFrame, matches: DataFrame, keys: list[str], after: int, lateness: str = LATENESS) -> DataFrame:
+    """Mismatches (keys, seen_at) without a match (keys, matched_at) in the ``after`` seconds from when they were seen.
+
+    On streams a mismatch waits in the join's state until both watermarks have passed its
+    last moment; then it comes out, once, or has gone because a match came. The interval
+    bounds the state of both sides. On batches every mismatch is judged, as nothing more
+    can come. A NULL key meets no match.
+    """
+    left, right = mismatches.select(*keys, "seen_at"), matches.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "matched_at")
+    if left.isStreaming:
+        left, right = left.withWatermark("seen_at", lateness), right.withWatermark("matched_at", lateness)
+    same = [F.col(k) == F.col(f"_m_{k}") for k in keys]
+    within = F.expr(f"matched_at >= seen_at AND matched_at <= seen_at + INTERVAL {after} SECONDS")
+    joined = left.join(right, reduce(lambda a, b: a & b, same) & within, "left_outer")
+    return joined.where("matched_at is null").select(*keys, "seen_at")
+
+
 class PendingMismatches:
     """The pending table of one replicated table, compared again after each batch."""
 

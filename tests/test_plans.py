@@ -11,7 +11,8 @@ from proofline.plans import queries as q
 EAGER = {  # run jobs of their own before they return
     "fingerprint_json", "verification_checks", "verification_summary", "summary_job", "summary_run_log", "delimited_load", "utf16_load",
     "full_refresh", "load_rejects", "load_metrics", "clustered_range", "partitioned_export", "export_latest", "export_pruned",
-    "replicate_stream", "change_history_stream", "allocate_batch_keys",
+    "replicate_stream", "change_history_stream", "allocate_batch_keys", "hash_tree_diff",
+    "confirmed_mismatches", "stream_status", "row_diff_bucketed",
 }
 
 

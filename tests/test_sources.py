@@ -107,7 +107,7 @@ def test_reject_policies(spark, tmp_path):
 
 def test_key_allocation_is_dense_and_stable(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("n"))
-    made = keys.allocate_keys(df, "id", ["n"], above=100, buckets=16)
+    made = keys.allocate_keys(df, "id", ["n"], above=100)
     first = {r.n: r.id for r in made.collect()}
     assert sorted(first.values()) == list(range(101, 1101))
     assert {r.n: r.id for r in keys.allocate_keys(df.repartition(7), "id", ["n"], above=100, buckets=16).collect()} == first
