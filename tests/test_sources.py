@@ -110,7 +110,7 @@ def test_key_allocation_is_dense_and_stable(spark):
     made = keys.allocate_keys(df, "id", ["n"], above=100)
     first = {r.n: r.id for r in made.collect()}
     assert sorted(first.values()) == list(range(101, 1101))
-    assert {r.n: r.id for r in keys.allocate_keys(df.repartition(7), "id", ["n"], above=100, buckets=16).collect()} == first
+    assert {r.n: r.id for r in keys.allocate_keys(df.repartition(7), "id", ["n"], above=100).collect()} == first
 
 
 def test_clustered_layout_splits_a_hot_moment(spark, tmp_path):
