@@ -328,3 +328,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.5, order
         one = _search(docs, vocabulary, idf, spaces, cosine, order, answer)
         found = one if found is None else found.union(one)
     return found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text) that hold no passage of a benchmark item, with all their columns.
+
+    Rows are judged by their own texts, also those that share a doc_id or have none; null and empty texts
+    and repeated rows stay. A row goes through the search by a 64-bit name.
+    """
+    (key,) = tx.free(docs.columns, "_key")
+    name = F.xxhash64("doc_id", "text")
+    leaks = find_leaks(docs.select(name.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, name).join(leaks, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -416,3 +416,22 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, num: int = 80, den: in
     own = base.join(nodes, ["k1", "k2"], "left").withColumn("node", F.coalesce("node", "doc_id")).join(final, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
     return own.select("doc_id", F.col("size").alias("n_shingles"), component.cast("long").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of every group of linked texts the row with the smallest doc_id; rows without a doc_id stay.
+
+    Rows that share a doc_id are judged by their own texts, so none goes for what another one holds. Of
+    rows with the same doc_id and text the one with the smallest other columns stays; columns that have no
+    order are allowed only if no such rows differ in them. Null and empty texts link with nothing. Columns
+    stay, whatever their names. A text goes through the join by a 64-bit name; a second one keeps rows
+    whose first names agree by chance apart.
+    """
+    key, other, row = tx.free(docs.columns, "_key", "_other", "_row")
+    names = {key: F.xxhash64("doc_id", "text"), other: F.xxhash64(F.lit(10), "text", "doc_id")}
+    keyed = docs.where("doc_id is not null").withColumns(names)
+    found = jaccard_components(keyed.select(F.col(key).alias("doc_id"), "text"))
+    owner = keyed.select(key, "doc_id").join(found.select(F.col("doc_id").alias(key), "component_id").distinct(), key)
+    kept = owner.groupBy("component_id").agg(F.min(F.struct("doc_id", key)).alias("first")).select(F.col("first")[key].alias(key))
+    one = keyed.join(kept, key, "left_semi").groupBy(key, other).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias(row))
+    return one.select(*(F.col(row)[c].alias(c) for c in docs.columns)).union(docs.where("doc_id is null"))

@@ -108,6 +108,17 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def free(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until no column has it, whatever its case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Make the package importable on executors that do not have it; once for each session's context."""
     context = spark.sparkContext
