@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from proofline.llm import decontaminate, jaccard_join, pieces, secrets, toxicity
 from proofline.llm.queries import toxicity_model
@@ -18,26 +17,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked texts the one with the smallest doc_id stays; rows without a doc_id stay.
-
-    Rows that share a doc_id are judged by their own texts, so none goes for what another one holds. Of
-    rows with the same doc_id and text the one with the smallest other columns stays.
-    """
+    """Of every group of linked texts the one with the smallest doc_id stays."""
     ship(spark)
-    keyed = docs.where("doc_id is not null").withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = jaccard_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    owner = keyed.select("_key", "doc_id").join(found.select(F.col("doc_id").alias("_key"), "component_id").distinct(), "_key")
-    kept = owner.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key")
-    one = keyed.join(kept, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return one.select(*(F.col(f"row.{c}").alias(c) for c in docs.columns)).union(docs.where("doc_id is null"))
+    return jaccard_join.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
     ship(spark)
-    key = F.xxhash64("doc_id", "text")
-    leaks = decontaminate.find_leaks(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    return docs.withColumn("_key", key).join(leaks.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
