@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from proofline.llm import text as tx
 from proofline.llm.components import components
 
-STRETCH = 1 << 22
-OFTEN = 4
+STRETCH = 1 << 21
+OFTEN = 3
 HEAVY = 1 << 18
 STAR_ROWS = 32
 REGION_ROWS = 2000

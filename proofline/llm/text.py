@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from proofline.session import scratch
 
 BATCH_BYTES = 1 << 21
+KEPT_POWERS = 10 << 18
 _BASE = 0x9E3779B97F4A7C15
 _GRAM_BASE = 0xD1342543DE82EF95
 _SPACE = np.zeros(256, bool)
@@ -31,13 +32,15 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i <= n, modulo 2**64; kept and grown by doubling."""
+    """base**i and base**-i for i <= n, modulo 2**64; a worker keeps them up to KEPT_POWERS, longer ones go with their text."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) <= n:
-        size = max(1 << 16, 1 << int(n).bit_length())
+        size = -(-(n + 1) // (1 << 18)) << 18
         up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
-        have = _POWERS[base] = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
+        have = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+        if size <= KEPT_POWERS:
+            _POWERS[base] = have
     return have
 
 

@@ -83,22 +83,11 @@ class Distance:
         return out
 
 
-_KEPT: dict[int, Distance] = {}
-
-
-def _distance(model: dict) -> Distance:
-    """The worker's copy; one model is kept."""
-    if model["name"] not in _KEPT:
-        _KEPT.clear()
-        _KEPT[model["name"]] = Distance(model["toxic"], model["ordinary"])
-    return _KEPT[model["name"]]
-
-
 def _largest(docs: DataFrame, shared, columns: str) -> DataFrame:
     keep = [c.split()[0] for c in columns.split(",")]
 
     def run(batches):
-        own = _distance(shared.value)
+        own = Distance(shared.value["toxic"], shared.value["ordinary"])  # goes with the task
         for batch in batches:
             for a, z in tx.slices(batch):
                 part = batch.slice(a, z - a)
@@ -196,7 +185,7 @@ def without_toxic(docs: DataFrame, model: dict | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        own = _distance(shared.value)
+        own = Distance(shared.value["toxic"], shared.value["ordinary"])  # goes with the task
         for batch in batches:
             for a, z in tx.slices(batch):
                 part = batch.slice(a, z - a)
