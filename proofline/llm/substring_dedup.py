@@ -340,7 +340,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, with_text: bool = False) -
     texts = tx.materialized(texts.select("row_key", (F.col("low") < F.col("doc_id")).alias("copy")).distinct(), "copies")
     copies, firsts = texts.where("copy").select("row_key", F.lit(True).alias("copy")), texts.where("not copy").select("row_key")
 
-    picks = _picks(named, window)
+    picks = tx.materialized(_picks(named, window), "picks")
     shared = picks.groupBy("run").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("run")
     shared = tx.materialized(shared, "shared_runs")
     wanted = picks.join(firsts, "row_key", "left_semi").join(shared, "run").groupBy("row_key").agg(F.collect_set("run").alias("runs"))
