@@ -13,6 +13,7 @@ Control bytes are decoded by a table of 256 rows: the four byte counts of each c
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from proofline.llm import text as tx
-from proofline.llm.chunks import ASCII_SPACE, ChunkMemory, wide_space
+from proofline.llm.chunks import ASCII_SPACE, WIDE_SPACE, ChunkMemory
 from proofline.session import scratch
 
 BLOCK_IDS = 500_000
 REMEMBERED = 800_000
+RANGE_CHARS = 32
+WIDE = re.compile(b"|".join(map(re.escape, WIDE_SPACE)))
 COUNTS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
@@ -38,24 +41,35 @@ class IdEncoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.bytes_of = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.bytes_of[i] = len(token)
         self.memory = ChunkMemory(self._learn, self.kind, ASCII_SPACE, REMEMBERED)
 
     def _whole(self, text: bytes) -> np.ndarray:
         return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, self.kind)
 
     def _learn(self, keys: list[bytes], whole: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks; whole ones go to the library as one string, as no token crosses between them."""
+        """Ids of chunks; whole ones go to the library as one string, as no token crosses between them.
+
+        In a byte-level vocabulary a token has one character for each byte, so the byte counts tell
+        where a chunk ends; if they do not meet the chunks, each goes alone.
+        """
         if not whole:
             parts = [self._whole(k) for k in keys]
             return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
-        texts = [k.decode() for k in keys]
-        coded = self.library.encode("".join(texts), add_special_tokens=False)
-        at = np.fromiter((a for a, _ in coded.offsets), np.int64, len(coded.ids))
-        cuts = np.searchsorted(at, np.cumsum(np.fromiter([0, *map(len, texts)], np.int64, len(texts) + 1)))
-        return np.array(coded.ids, self.kind), np.diff(cuts)
+        joined = b"".join(keys).decode()
+        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.cumsum(self.bytes_of[ids])
+        stops = np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys)))
+        cuts = np.searchsorted(ends, stops) + 1
+        if not np.array_equal(ends[np.minimum(cuts, len(ends)) - 1], stops):
+            parts = [self._whole(k) for k in keys]
+            return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        return ids, np.diff(cuts, prepend=0)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        plain = [not wide_space(t) and not any(s in t for s in self.special) for t in texts]
+        plain = [(t.isascii() or not WIDE.search(t)) and not any(s in t for s in self.special) for t in texts]
         values, n = self.memory.lookup([t for t, p in zip(texts, plain, strict=True) if p])
         parts = iter(np.split(values, np.cumsum(n)[:-1]) if len(n) else [])
         return [next(parts) if p else self._whole(t) for t, p in zip(texts, plain, strict=True)]
@@ -73,7 +87,11 @@ def encoder(path: str) -> IdEncoder:
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of ranks below 2**32."""
     ranks = ranks.astype(np.uint32)
-    sizes = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    top = int(ranks.max()) if len(ranks) else 0
+    over = [k for k in (1, 2, 3) if top >> 8 * k]
+    sizes = np.ones(len(ranks), np.uint8)
+    for k in over:
+        sizes += ranks >> np.uint32(8 * k) > 0
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     padded[: len(ranks)] = sizes - 1
     four = padded.reshape(-1, 4)
@@ -82,7 +100,7 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     begins = ends - sizes
     data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
     data[begins] = ranks.astype(np.uint8)
-    for k in (1, 2, 3):
+    for k in over:
         more = np.flatnonzero(sizes > k)
         data[begins[more] + k] = (ranks[more] >> np.uint32(8 * k)).astype(np.uint8)
     return control.tobytes(), data.tobytes()
@@ -94,27 +112,32 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     begins = np.cumsum(sizes) - sizes
     octets = np.append(np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)).astype(np.uint32)
     out = octets[begins]
-    for k in (1, 2, 3):
+    for k in range(1, int(sizes.max()) if n else 0):
         more = np.flatnonzero(sizes > k)
         out[more] |= octets[begins[more] + k] << np.uint32(8 * k)
     return out
 
 
-def _encode(docs: DataFrame, path: str, end: int) -> DataFrame:
-    """Blocks of plain ids; docs come in order, one shard a task."""
-    names = ["shard", "block", "offset", "doc_ids", "lengths", "ids"]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+def _encode(docs: DataFrame, path: str, end: int, size: int) -> DataFrame:
+    """Blocks of plain ids; docs come in order, one shard a task. The last row of a shard counts its ids."""
+    names = ["shard", "block", "offset", "doc_ids", "lengths", "ids", "seen_id", "seen"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+    def row(*values):
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
 
     def run(batches):
         own, shard, block, offset = encoder(path), TaskContext.get().partitionId(), 0, 0
-        tail = np.array([end], own.kind).tobytes()
-        ids, lengths, held = [], [], []
+        tail, seen = np.array([end], own.kind), np.zeros(size, np.int64)
+        ids, lengths, held, n = [], [], [], 0
 
         def flush():
-            nonlocal block, offset, ids, lengths, held
-            out = pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((shard, block, offset, ids, lengths, b"".join(held)), kinds, strict=True)], names)
-            block, offset = block + 1, offset + sum(lengths)
-            ids, lengths, held = [], [], []
+            nonlocal block, offset, ids, lengths, held, n
+            joined = np.concatenate(held)
+            seen[:] += np.bincount(joined, minlength=size)
+            out = row(shard, block, offset, ids, lengths, joined.tobytes(), None, None)
+            block, offset = block + 1, offset + n
+            ids, lengths, held, n = [], [], [], 0
             return out
 
         for batch in batches:
@@ -122,44 +145,42 @@ def _encode(docs: DataFrame, path: str, end: int) -> DataFrame:
             for a, z in tx.slices(batch):
                 for d, coded in zip(doc[a:z], own.encode(raw[a:z]), strict=True):
                     ids.append(d)
-                    held += [coded.tobytes(), tail]
+                    held += [coded, tail]
                     lengths.append(len(coded) + 1)
-                if sum(lengths) > BLOCK_IDS:
+                    n += len(coded) + 1
+                if n > BLOCK_IDS:
                     yield flush()
         if ids:
             yield flush()
+        some = np.flatnonzero(seen)
+        if len(some):
+            yield row(shard, None, None, None, None, None, some, seen[some])
 
-    return docs.mapInArrow(run, "shard int, block long, offset long, doc_ids array<long>, lengths array<long>, ids binary")
+    return docs.mapInArrow(run, "shard int, block long, offset long, doc_ids array<long>, lengths array<long>, ids binary, seen_id array<long>, seen array<long>")
 
 
 def write_tokens(docs: DataFrame, path: str, folder: str, end: int = 2) -> None:
     """Write the ids of every row of docs (doc_id, text), each followed by `end`, into the folder.
 
     path: a vocabulary file of the tokenizers library on every node. No special tokens are added. A null
-    text counts as empty. Rows with a null doc_id come first; rows with one doc_id go by text. No rows
-    give empty files. Other columns are ignored. The ranking has a row for each id of the vocabulary and
-    is broadcast.
+    text counts as empty. Rows with a null doc_id come first; rows with one doc_id go by text, and those
+    that differ in its first RANGE_CHARS characters may go to different tasks. No rows give empty files.
+    Other columns are ignored. The ranking has a row for each id of the vocabulary and is broadcast.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    plain = scratch(spark, "ids")
-    _encode(ordered, path, end).write.option("compression", "zstd").parquet(plain)
-    blocks = spark.read.parquet(plain)
+    by_id = F.col("doc_id").asc_nulls_first()
+    ordered = docs.repartitionByRange(parts, by_id, F.substring("text", 1, RANGE_CHARS).asc_nulls_first()).sortWithinPartitions(by_id, F.col("text").asc_nulls_first())
     library = Tokenizer.from_file(path)
     size, kind = max(library.get_vocab_size(), end + 1), np.dtype("<u2") if library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-
-    def count(batches):
-        seen = np.zeros(size, np.int64)
-        for batch in batches:
-            for ids in batch.column("ids"):
-                seen += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
-        some = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], ["id", "n"])
-
+    plain = scratch(spark, "ids")
+    _encode(ordered, path, end, size).write.option("compression", "snappy").parquet(plain)
+    written = spark.read.parquet(plain)
+    blocks = written.where("block is not null").drop("seen_id", "seen")
+    counted = written.where("seen is not null").select(F.explode(F.arrays_zip("seen_id", "seen")).alias("c"))
+    got = counted.groupBy(F.col("c.seen_id").alias("id")).agg(F.sum("c.seen").alias("n")).toPandas()
     seen = np.zeros(size, np.int64)
-    got = blocks.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     seen[got["id"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
     order = np.lexsort((np.arange(size), -seen))
     rank = np.empty(size, np.uint32)

@@ -74,6 +74,32 @@ def test_token_files(spark, docs, rows, tmp_path):
     assert token_files.read_tokens(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_token_files_of_one_repeated_id(spark, tmp_path):
+    text.ship(spark)
+    texts = [f"{k:04d} words é of a row" for k in range(400)] + [None, "", "0001 words é of a row"]
+    frame = spark.createDataFrame([(None, t) for t in texts] + [(7, "last")], "doc_id long, text string")
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "files")
+    library = Tokenizer.from_file(path)
+    token_files.write_tokens(frame, path, folder)
+    got = token_files.read_tokens(spark, folder, with_ids=True).orderBy("start").collect()
+    ids = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in [*sorted(texts, key=lambda t: (t or "").encode()), "last"]]
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == ids
+    assert [r.start for r in got] == np.cumsum([0, *map(len, ids)])[:-1].tolist()
+    assert spark.read.parquet(f"{folder}/blocks").where(F.exists("doc_ids", lambda d: d.isNull())).select("shard").distinct().count() > 1
+
+
+@pytest.mark.parametrize("n", [1, 50])
+def test_ids_of_chunks_do_not_depend_on_their_company(n):
+    own = token_files.IdEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    chunks = [f" é{k}日本 x{k}".encode() for k in range(n)] + [b" \xf0\x9f\x98\x80", b"\n\t ab"]
+    ids, counts = own._learn(chunks, True)
+    alone = [own._whole(c).tolist() for c in chunks]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == alone
+    own.bytes_of[:] = 1
+    ids, counts = own._learn(chunks, True)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == alone
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1000])
 def test_byte_counts_round_trip(n):
     r = np.random.default_rng(n)
