@@ -401,6 +401,8 @@ def sql() -> dict[str, str]:
             f"SELECT '{n}' AS table_name, COUNT(*) FILTER (WHERE NOT ({bad(n)})) AS rows, COUNT(*) FILTER (WHERE {bad(n)}) AS rejected, 'loaded' AS state, TRUE AS timed FROM {n}"
             for n in ("merchants", "transactions")
         ),
+        "selected_tables": WITH + " UNION ALL ".join(f"SELECT 'public' AS schema_name, '{t}' AS table_name, COUNT(*) AS rows FROM {t}" for t in ("merchants", "transactions", "batches")),
+        "mapped_columns": WITH + "SELECT txn_id, merchant_id, amount AS gross_amount FROM transactions",
         "renamed_columns": WITH + "SELECT txn_id, merchant_id, amount FROM transactions",
         "new_guids": "SELECT COUNT(*) AS rows, COUNT(*) AS guids, COUNT(*) AS well_formed FROM customer",
         "service_projections": WITH + """SELECT 'merchant_svc_merchants' AS view_name, COUNT(*) AS rows, CAST(9 AS BIGINT) AS columns FROM merchants
@@ -412,6 +414,7 @@ def sql() -> dict[str, str]:
         "export_latest": WITH + f"SELECT CAST(captured_at AS DATE) AS capture_date, COUNT(*) AS rows, TRUE AS has_bytes FROM transactions WHERE CAST(captured_at AS DATE) IN ({LATEST}) GROUP BY 1",
         "export_pruned": WITH + f"""SELECT CAST(captured_at AS DATE) AS capture_date, COUNT(*) AS rows, CAST(SUM(amount) AS {D38}) AS gross FROM transactions
  WHERE captured_at >= TIMESTAMP '2001-03-01 00:00:00' AND captured_at < TIMESTAMP '2001-04-01 00:00:00' GROUP BY 1""",
+        "export_of_large_batches": WITH + f"SELECT {EXPORTED} FROM transactions WHERE CAST(captured_at AS DATE) IN (SELECT batch_date FROM batches WHERE gross_amount >= {q.LARGE_BATCH})",
         "apply_changes": STATE,
         "replicate_stream": STATE,
         "replica_out_of_order": STATE,

@@ -562,6 +562,40 @@ def renamed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.rename_columns(shouted, rules).select("txn_id", "merchant_id", "amount")
 
 
+# Rules for the four tables as their source names them: some apply, some must not.
+MAPPING = {
+    "rules": [
+        {"rule-type": "selection", "rule-id": "1", "object-locator": {"schema-name": "dbo", "table-name": "%"}, "rule-action": "include"},
+        {"rule-type": "selection", "rule-id": "2", "object-locator": {"schema-name": "dbo", "table-name": "SETTLE%"}, "rule-action": "exclude"},
+        {"rule-type": "selection", "rule-id": "3", "object-locator": {"schema-name": "archive", "table-name": "%"}, "rule-action": "exclude"},
+        {"rule-type": "transformation", "rule-id": "4", "rule-target": "schema", "object-locator": {"schema-name": "dbo"}, "rule-action": "rename", "value": "public"},
+        {"rule-type": "transformation", "rule-id": "5", "rule-target": "table", "object-locator": {"schema-name": "dbo"}, "rule-action": "convert-lowercase"},
+        {"rule-type": "transformation", "rule-id": "6", "rule-target": "column", "object-locator": {"schema-name": "dbo"}, "rule-action": "convert-lowercase"},
+        {"rule-type": "transformation", "rule-id": "7", "rule-target": "column", "object-locator": {"schema-name": "dbo", "table-name": "TRANS%", "column-name": "AMOUNT"}, "rule-action": "rename", "value": "gross_amount"},
+        {"rule-type": "transformation", "rule-id": "8", "rule-target": "column", "object-locator": {"schema-name": "dbo", "table-name": "BATCHES", "column-name": "TXN_ID"}, "rule-action": "rename", "value": "wrong"},
+        {"rule-type": "transformation", "rule-id": "9", "rule-target": "column", "object-locator": {"schema-name": "archive", "column-name": "MERCHANT_ID"}, "rule-action": "rename", "value": "wrong"},
+    ]
+}
+
+
+def mapped_tables(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFrame]:
+    shouted = {n.upper(): df.toDF(*[c.upper() for c in df.columns]) for n, df in four_tables(spark, sf_dir).items()}
+    return naming.Mapping.from_dict(MAPPING).apply("dbo", shouted)
+
+
+@query
+def selected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table the mapping takes, under its new name."""
+    taken = mapped_tables(spark, sf_dir).items()
+    return union([df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(s).alias("schema_name"), F.lit(t).alias("table_name"), "rows") for (s, t), df in taken])
+
+
+@query
+def mapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns renamed by the most specific rule; rules of other tables and schemas do not act."""
+    return mapped_tables(spark, sf_dir)["public", "transactions"].select("txn_id", "merchant_id", "gross_amount")
+
+
 @query
 def new_guids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merchants without an identifier get one; none is used twice."""
@@ -689,6 +723,18 @@ def export_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LARGE_BATCH = 400000
+
+
+@query
+def export_of_large_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported rows of the days that have a large batch; other days' folders are not read."""
+    path = scratch(spark, "export")
+    export.export_by_day(pay.transactions(spark, sf_dir), path)
+    days = batches(spark, sf_dir).where(f"gross_amount >= {LARGE_BATCH}").select(F.col("batch_date").alias(export.DAY))
+    return export.read_export_days(spark, path, days)
+
+
 # -- replication -----------------------------------------------------------------
 
 

@@ -81,6 +81,15 @@ def read_export(spark: SparkSession, path: str, lo: str | None = None, hi: str |
     return df
 
 
+def read_export_days(spark: SparkSession, path: str, days: DataFrame) -> DataFrame:
+    """The rows of the days in ``days``, another table's; no other folder is read if ``days`` is filtered.
+
+    The different days are broadcast, at most one row for each day of the calendar, and Spark prunes the
+    scan by the same broadcast. A NULL day takes nothing.
+    """
+    return spark.read.parquet(path).join(F.broadcast(days.select(DAY).distinct()), DAY, "left_semi")
+
+
 def export_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Rows, files and bytes per day, taken from what was written."""
     files = (

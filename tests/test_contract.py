@@ -101,3 +101,46 @@ def test_mapping_rules(spark):
     assert naming.rename("schema", "other", rules) == "other"
     assert naming.rename("table", "KEEP", rules) == "KEEP"
     assert naming.rename_columns(spark.range(1).toDF("ID"), rules).columns == ["id"]
+
+
+def rule(number, target, action, value=None, **where):
+    located = {f"{k}-name": v for k, v in where.items()}
+    kind = {"rule-type": "transformation", "rule-target": target} if target else {"rule-type": "selection"}
+    return {**kind, "rule-id": str(number), "rule-action": action, "object-locator": located, "value": value}
+
+
+def mapping(*rules):
+    return naming.Mapping.from_dict({"rules": list(rules)})
+
+
+def test_selection_needs_an_inclusion_and_no_exclusion():
+    m = mapping(rule(1, None, "include", schema="dbo", table="t%"), rule(2, None, "exclude", schema="dbo", table="t_old%"), rule(3, None, "exclude", schema="x"))
+    assert [m.selects("dbo", t) for t in ("t1", "t_old", "t_older", "u", "T1")] == [True, False, False, False, False]
+    assert not m.selects("x", "t1") and not mapping().selects("dbo", "t")
+    assert not mapping(rule(1, None, "include", table="a[b")).selects("dbo", "ab")
+
+
+def test_the_most_specific_rule_names():
+    m = mapping(
+        rule(1, "column", "convert-lowercase"), rule(2, "column", "rename", "id", schema="dbo", table="A", column="ROW_ID"),
+        rule(3, "column", "rename", "key", column="ROW%"), rule(4, "column", "rename", "other", schema="x", table="A", column="ROW_ID"),
+    )
+    assert m.name("column", "dbo", "A", "ROW_ID") == "id"
+    assert m.name("column", "dbo", "B", "ROW_ID") == "key"
+    assert m.name("column", "dbo", "A", "NAME") == "name"
+    assert m.name("table", "dbo", "A") == "A"
+
+
+def test_mappings_that_are_refused(spark):
+    two = mapping(rule(1, None, "include"), rule(2, "column", "rename", "a", column="X"), rule(3, "column", "rename", "b", column="X"))
+    with pytest.raises(C.ContractError):
+        two.name("column", "dbo", "T", "X")
+    same = mapping(rule(1, None, "include"), rule(2, "column", "rename", "a", column="X"))
+    with pytest.raises(C.ContractError):
+        same.apply("dbo", {"T": spark.range(1).selectExpr("id AS X", "id AS A")})
+    merged = mapping(rule(1, None, "include"), rule(2, "table", "convert-lowercase"))
+    with pytest.raises(C.ContractError):
+        merged.apply("dbo", {"T": spark.range(1), "t": spark.range(1)})
+    for bad in ([rule(1, None, "include"), rule(1, None, "include")], [rule(1, None, "explicit")], [rule(1, "index", "rename")], [{**rule(1, None, "include"), "filters": [{}]}]):
+        with pytest.raises(C.ContractError):
+            mapping(*bad)

@@ -10,7 +10,7 @@ from proofline.plans import queries as q
 
 EAGER = {  # run jobs of their own before they return
     "fingerprint_json", "verification_checks", "verification_summary", "summary_job", "summary_run_log", "delimited_load", "utf16_load",
-    "full_refresh", "load_rejects", "load_metrics", "clustered_range", "partitioned_export", "export_latest", "export_pruned",
+    "full_refresh", "load_rejects", "load_metrics", "clustered_range", "partitioned_export", "export_latest", "export_pruned", "export_of_large_batches",
     "replicate_stream", "change_history_stream", "allocate_batch_keys", "hash_tree_diff",
     "confirmed_mismatches", "stream_status", "row_diff_bucketed",
 }
@@ -73,3 +73,8 @@ def test_stored_layout_prunes_a_range(spark, sf, tmp_path):
     clustered(pay.transactions(spark, sf), "captured_at", "txn_id", files=4).write.parquet(path)
     text = plan(settle.settlement_range(spark.read.parquet(path), *q.RANGE))
     assert "GreaterThanOrEqual(captured_at," in text and "LessThan(captured_at," in text
+
+
+def test_days_of_another_table_prune_the_export(spark, sf):
+    text = plan(q.registered()["export_of_large_batches"](spark, sf))
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", text)
