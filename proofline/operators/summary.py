@@ -119,8 +119,8 @@ class RunLog:
         return self.spark.read.schema(RUN_EVENT).json(self.path)
 
     def runs(self) -> DataFrame:
-        """One row per run, with its latest status."""
-        last = lambda c: F.max_by(c, "step")
+        """One row per run, with its latest status; the error is that of its latest line, so a completed run has none."""
+        last = lambda c: F.max_by(c, F.struct("step", "at"))
         return (
             self.events()
             .groupBy("run_id", "job_name")
@@ -153,8 +153,7 @@ class RunLog:
             rows = work(run_id, mark)
         except Exception as exc:
             # a staged result stays marked as such: the next run completes it
-            if not staged:
-                self.add(run_id, job, 2, "failed", error=str(exc))
+            self.add(run_id, job, 2, "staged" if staged else "failed", error=str(exc))
             raise
         self.add(run_id, job, 2, "succeeded", rows=rows)
         return rows
@@ -188,7 +187,11 @@ class SummaryTable:
     def run(self, transactions: DataFrame, as_of: datetime, days_back: int = 1) -> int:
         """Summarise the window and upsert it; returns the rows written by the run."""
         for run_id in self.log.unfinished(JOB):
-            self._publish(run_id)
+            try:
+                self._publish(run_id)
+            except Exception as exc:
+                self.log.add(run_id, JOB, 2, "staged", error=str(exc))
+                raise
             self.log.add(run_id, JOB, 3, "succeeded", rows=None)
 
         def work(run_id: str, staged: Callable[[], None]) -> int:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, time
+from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +50,13 @@ def since_latest_days(transactions: DataFrame, days: int) -> DataFrame:
     return transactions.where(F.col("captured_at") >= instant(datetime.combine(first, time.min)))
 
 
-def export_by_day(transactions: DataFrame, path: str, days: int | None = None) -> None:
+def export_by_day(transactions: DataFrame, path: str, days: int | None = None, drop_empty: bool = False) -> None:
     """One pass over all days; each day's folder is replaced as a whole.
 
+    With ``drop_empty`` the frame is the whole truth: once its days are written, exported days without
+    rows are deleted, all of them without ``days``, else those after the first of the latest days. Rows
+    without a day share one folder, which is only ever replaced.
+
     Rows are rebalanced by day: small days share a task, and a day holding most of
     the rows is split over several tasks and files instead of filling one.
     """
@@ -69,6 +73,26 @@ def export_by_day(transactions: DataFrame, path: str, days: int | None = None) -
     )
     with spread_writes(transactions.sparkSession):
         writer.parquet(path)
+    for day in stale_days(rows, path, from_first=days is not None) if drop_empty else ():
+        remove_folder(transactions.sparkSession, f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
+
+
+def stale_days(rows: DataFrame, path: str, from_first: bool) -> list[date]:
+    """Days the export holds and ``rows`` does not, at most one value for each day of the calendar."""
+    days = rows.select(DAY).where(f"{DAY} IS NOT NULL").distinct()
+    held = rows.sparkSession.read.schema(rows.schema).parquet(path).select(DAY).where(f"{DAY} IS NOT NULL").distinct()
+    gone = held.join(days, DAY, "left_anti")
+    if from_first:
+        first = days.agg(F.min(DAY)).first()[0]
+        if first is None:
+            return []
+        gone = gone.where(F.col(DAY) > F.lit(first))
+    return [r[0] for r in gone.collect()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_export(spark: SparkSession, path: str, lo: str | None = None, hi: str | None = None) -> DataFrame:

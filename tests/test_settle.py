@@ -102,6 +102,11 @@ def test_interrupted_publishing_is_completed_by_the_next_run(spark, tmp_path, mo
     later = txns(spark, (6, 9, "7.0000", "0.0", "captured", T0, T0))
     with pytest.raises(RuntimeError):
         job.run(later, as_of, 1)
+    left = lambda: [(r.status, r.error) for r in job.log.runs().where("status <> 'succeeded'").collect()]
+    assert left() == [("staged", "executor lost")]
+    with pytest.raises(RuntimeError):
+        job.run(later, as_of, 1)
+    assert left() == [("staged", "executor lost")] and job.log.events().where("error IS NOT NULL").count() == 2
     monkeypatch.setattr(summary.SummaryTable, "_publish", publish)
     job.run(txns(spark, (7, 1, "3.0000", "0.0", "captured", T0 + timedelta(days=1), T0)), as_of, 1)
     got = {(str(r.summary_date), r.merchant_id): r.gross_amount for r in job.read().collect()}

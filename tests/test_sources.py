@@ -143,6 +143,27 @@ def test_export_replaces_days_and_keeps_others(spark, sf, tmp_path):
     assert export.read_export(spark, path).count() == rows.count()
 
 
+def test_days_without_rows_leave_the_export(spark, tmp_path):
+    path = str(tmp_path / "e")
+
+    def rows(*days):
+        at = ", ".join(f"timestamp'2024-01-{d:02d} 10:00:00'" if d else "null" for d in days)
+        return spark.sql(f"select 1L as txn_id, 1 as merchant_id, 1.0 as amount, 0.0 as fee_amount, 'USD' as currency, 'ok' as txn_status, explode(array({at})) as captured_at, cast(null as timestamp) as settled_at")
+
+    held = lambda: sorted(r[0].day if r[0] else 0 for r in export.read_export(spark, path).select(export.DAY).collect())
+    export.export_by_day(rows(1, 2, 3, 4, 5, 0), path)
+    export.export_by_day(rows(3), path)
+    assert held() == [0, 1, 2, 3, 4, 5]
+    export.export_by_day(rows(1, 3, 5), path, days=2, drop_empty=True)
+    assert held() == [0, 1, 2, 3, 5]
+    export.export_by_day(rows(3, 5), path, drop_empty=True)
+    assert held() == [0, 3, 5]
+    export.export_by_day(rows(3).where("false"), path, days=2, drop_empty=True)
+    assert held() == [0, 3, 5]
+    export.export_by_day(rows(3).where("false"), path, drop_empty=True)
+    assert held() == [0]
+
+
 def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(name)
