@@ -49,6 +49,10 @@ class PieceEncoder:
             self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
         self.whole = bool(crossing)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start again without remembered chunks and pairs."""
         self.fits: dict[tuple[int, int], bool] = {}
         self.memory = ChunkMemory(self._learn, "<u4", BLANK, REMEMBERED)
 
@@ -141,13 +145,13 @@ def encoder(path: str) -> PieceEncoder:
     return _KEPT[path]
 
 
-def encode_pieces(docs: DataFrame, path: str, with_output: bool = False) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str, with_output: bool = False, keep: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids, decoded) for every row of docs (doc_id, text).
 
     path: a merge-type SentencePiece model with byte pieces, on every node. ids (little-endian unsigned
     32-bit) and decoded text are filled if with_output. A null text counts as empty: begin and end only.
     Rows with a null doc_id and repeated rows stay. Other columns are ignored. A worker remembers about
-    REMEMBERED chunks and as many pairs.
+    REMEMBERED chunks and as many pairs; with keep false, only as long as a task.
     """
 
     def run(batches):
@@ -162,6 +166,8 @@ def encode_pieces(docs: DataFrame, path: str, with_output: bool = False) -> Data
                     text = own.decode(coded)
                     rows.append((len(coded) // 4, hashlib.sha256(coded).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), coded if with_output else None, text if with_output else None))
                 yield pa.RecordBatch.from_arrays([ids.slice(a, z - a), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True))], names)
+        if not keep:
+            own.forget()
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded string")
