@@ -36,7 +36,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the pieces of every document."""
     ship(spark)
-    return pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("ids", "decoded")
+    return pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=False).drop("ids", "decoded")
 
 
 STAGES = [
