@@ -13,6 +13,7 @@ Control bytes are decoded by a table of 256 rows: the four byte counts of each c
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from proofline.llm import text as tx
-from proofline.llm.chunks import ASCII_SPACE, WIDE_SPACE, ChunkMemory
+from proofline.llm.chunks import ASCII_SPACE, WIDE_SPACE, ChunkMemory, mark_cuts
 from proofline.session import scratch
 
 BLOCK_IDS = 500_000
@@ -44,7 +45,10 @@ class IdEncoder:
         self.bytes_of = np.zeros(self.library.get_vocab_size(), np.int64)
         for token, i in self.library.get_vocab().items():
             self.bytes_of[i] = len(token)
-        self.memory = ChunkMemory(self._learn, self.kind, ASCII_SPACE, REMEMBERED)
+        # only the pattern of byte-level vocabularies is known to end a pre-token before a mark
+        before = json.loads(self.library.to_str())["pre_tokenizer"] or {}
+        cuts = mark_cuts if before.get("type") == "ByteLevel" and before.get("use_regex", True) else None
+        self.memory = ChunkMemory(self._learn, self.kind, ASCII_SPACE, REMEMBERED, cuts)
 
     def _whole(self, text: bytes) -> np.ndarray:
         return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, self.kind)

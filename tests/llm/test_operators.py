@@ -74,6 +74,19 @@ def test_token_files(spark, docs, rows, tmp_path):
     assert token_files.read_tokens(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_token_files_learn_words_without_their_marks():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), token_files.IdEncoder(path)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    plain = [f"x word{m} word{n} word" for m in marks for n in (m, m + m, m + '"')]
+    odd = ["it's WE'LL 'tis o'clock''s", "a-b_c.d,e", "é, ×, ÷. ÿ! \xaa; ß? Ä'll", "e\u0301, a,\u0301 a\u2014, \u2014, \u0301,", "1, 2.5 3's", "x\x1c, \x7f. a\x00,", ",", "'", "a,\n\nb, ", "word,", "word"]
+    texts = plain + odd + ODD[1:]
+    got = own.encode([t.encode() for t in texts])
+    assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    words = [k for k in own.memory.index if k.startswith(b" word")]
+    assert words == [b" word"]
+
+
 def test_token_files_of_one_repeated_id(spark, tmp_path):
     text.ship(spark)
     texts = [f"{k:04d} words é of a row" for k in range(400)] + [None, "", "0001 words é of a row"]
